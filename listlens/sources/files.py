@@ -11,18 +11,27 @@ from pyspark.sql import types as T
 
 from listlens.session import null_safe_join
 
-LISTING_SCHEMA = T.StructType.fromDDL(
-    "id string, title string, condition string, price double, base_price double,"
-    " initial_quantity bigint, available_quantity bigint, sold_quantity bigint,"
-    " listing_type_id string, buying_mode string, warranty string, warranty_category string,"
-    " official_store_id bigint, automatic_relist boolean,"
-    " tags array<string>, sub_status array<string>, deal_ids array<string>,"
-    " shipping struct<local_pick_up:boolean, free_shipping:boolean, mode:string,"
-    " methods:array<string>, tags:array<string>, dimensions:string>,"
-    " non_mercado_pago_payment_methods array<struct<id:string, description:string, type:string>>,"
-    " variations array<struct<available_quantity:bigint, price:double>>,"
-    " attributes array<struct<id:string, value_name:string>>,"
-    " seller_address struct<state:struct<name:string>>"
+_TEXT, _TEXTS = T.StringType(), T.ArrayType(T.StringType())
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in fields.items()])
+
+
+LISTING_SCHEMA = _struct(
+    id=_TEXT, title=_TEXT, condition=_TEXT, price=T.DoubleType(), base_price=T.DoubleType(),
+    initial_quantity=T.LongType(), available_quantity=T.LongType(), sold_quantity=T.LongType(),
+    listing_type_id=_TEXT, buying_mode=_TEXT, warranty=_TEXT, warranty_category=_TEXT,
+    official_store_id=T.LongType(), automatic_relist=T.BooleanType(),
+    tags=_TEXTS, sub_status=_TEXTS, deal_ids=_TEXTS,
+    shipping=_struct(
+        local_pick_up=T.BooleanType(), free_shipping=T.BooleanType(), mode=_TEXT, methods=_TEXTS,
+        tags=_TEXTS, dimensions=_TEXT,
+    ),
+    non_mercado_pago_payment_methods=T.ArrayType(_struct(id=_TEXT, description=_TEXT, type=_TEXT)),
+    variations=T.ArrayType(_struct(available_quantity=T.LongType(), price=T.DoubleType())),
+    attributes=T.ArrayType(_struct(id=_TEXT, value_name=_TEXT)),
+    seller_address=_struct(state=_struct(name=_TEXT)),
 )
 
 

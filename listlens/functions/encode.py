@@ -33,6 +33,30 @@ def remap(col: Column, mapping: Mapping) -> Column:
     return out.otherwise(col)
 
 
+def fit_label_codes(df: DataFrame, column: str) -> dict[str, int]:
+    """Codes 0, 1, ... of the distinct values in sorted order; more than 1000 classes are refused."""
+    values = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(1001).collect()]
+    if len(values) > 1000:
+        raise ValueError(f"{column} has more than 1000 distinct values")
+    return {v: i for i, v in enumerate(sorted(values))}
+
+
+def label_code(col: Column, codes: Mapping[str, int]) -> Column:
+    """Number of a class name; other values are null."""
+    out = F.lit(None).cast("int")
+    for text, code in codes.items():
+        out = F.when(col == F.lit(text), F.lit(code)).otherwise(out)
+    return out
+
+
+def label_name(col: Column, codes: Mapping[str, int]) -> Column:
+    """Class name of a number; other values are null."""
+    out = F.lit(None).cast("string")
+    for text, code in codes.items():
+        out = F.when(col == F.lit(code), F.lit(text)).otherwise(out)
+    return out
+
+
 def is_present(col: Column) -> Column:
     return col.isNotNull().cast("int")
 

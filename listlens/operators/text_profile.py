@@ -86,7 +86,7 @@ def pattern_matches(df: DataFrame, text: str, cls: str, patterns: Mapping[str, s
 
 def _years(df: DataFrame, text: str, cls: str) -> DataFrame:
     found = tx.all_matches(F.coalesce(F.col(text), F.lit("")), fv.NUMERIC_PATTERNS["years"])
-    return df.select(F.col(cls).alias("class"), F.explode(found).cast("int").alias("year"))
+    return df.select(F.col(cls).alias("class"), F.explode(F.transform(found, lambda y: y.cast("int"))).alias("year"))
 
 
 def year_stats(df: DataFrame, text: str, cls: str) -> DataFrame:
@@ -138,17 +138,18 @@ def lexicon_rows(
     base = df.select(cls, F.lower(F.coalesce(F.col(text), F.lit(""))).alias("__t"))
     cols = {name: tx.lexicon_any(F.col("__t"), words, whole_word) for name, words in lexicon.items()}
     long = _per_class_sums(base, cls, cols, key, "rows")
-    wide = long.groupBy(key).agg(
-        *[F.sum(F.when(F.col("class") == c, F.col("rows")).otherwise(0)).alias(f"n_{c}") for c in CLASSES]
-    )
-    return with_share(wide, CLASSES)
+    return class_rows_with_share(long, key)
+
+
+def top_brands(df: DataFrame, text: str, k: int = 20) -> list[str]:
+    """Names of the ``k`` most frequent brand candidates: at most ``k`` short strings."""
+    found = brand_candidates(df, text).orderBy(F.desc("count"), "brand").limit(k)
+    return [r["brand"] for r in found.collect()]
 
 
 def brand_distribution(df: DataFrame, text: str, cls: str, brands: Sequence[str] | None = None, k: int = 20) -> DataFrame:
     """Per-class rows containing each of the top ``k`` brands (as a substring)."""
-    if brands is None:
-        # The names of a top-k table: at most ``k`` short strings.
-        brands = [r["brand"] for r in brand_candidates(df, text).orderBy(F.desc("count"), "brand").limit(k).collect()]
+    brands = top_brands(df, text, k) if brands is None else brands
     if not brands:
         return df.sparkSession.createDataFrame([], "brand string, n_new bigint, n_used bigint, total bigint, ratio_new double")
     return lexicon_rows(df, text, cls, {b: [b] for b in brands}, "brand")
@@ -169,6 +170,37 @@ def special_patterns(
     return _per_class_sums(base, cls, cols, "pattern", "rows")
 
 
+def one_pass_profile(
+    df: DataFrame, text: str, cls: str, lexicon: Mapping[str, Sequence[str]], brands: Sequence[str]
+) -> DataFrame:
+    """Numeric patterns, special patterns, categories and brands together: ``section, name, class, value``.
+
+    One scan for what the single operators would each read the text for.
+    """
+    raw = F.coalesce(F.col(text), F.lit(""))
+    base = df.select(cls, raw.alias("__t"), F.lower(raw).alias("__low"))
+    low = F.col("__low")
+    sections = {
+        "numeric_patterns": {n: tx.count_matches(low, p) for n, p in fv.NUMERIC_PATTERNS.items()},
+        "special_patterns": {n: tx.has_match(F.col("__t"), p, True) for n, p in fv.SPECIAL_PATTERNS.items()},
+        "category_stats": {n: tx.lexicon_any(low, words) for n, words in lexicon.items()},
+        "brand_distribution": {b: low.contains(b) for b in brands},
+    }
+    flat = {f"{section}|{n}": col for section, cols in sections.items() for n, col in cols.items()}
+    long = _per_class_sums(base, cls, flat, "key", "value")
+    # Brand names hold no '|'; section names neither.
+    parts = F.split("key", r"\|", 2)
+    return long.select(parts[0].alias("section"), parts[1].alias("name"), "class", "value")
+
+
+def class_rows_with_share(long: DataFrame, key: str) -> DataFrame:
+    """Long per-class rows of one section as ``n_<class>``, total and share."""
+    wide = long.groupBy(key).agg(
+        *[F.sum(F.when(F.col("class") == c, F.col("rows")).otherwise(0)).alias(f"n_{c}") for c in CLASSES]
+    )
+    return with_share(wide, CLASSES)
+
+
 def consolidate(replies: DataFrame, field: str, sentinel: str = fv.UNKNOWN_REPLY) -> DataFrame:
     """Frequency of a reply field (text or list of text), lower-cased, without blanks and the sentinel."""
     is_list = replies.schema[field].dataType.typeName() == "array"

@@ -22,17 +22,24 @@ def title_sections(
     rows = df.select(F.coalesce(text, F.lit("")).alias(text), F.coalesce(cls, F.lit("")).alias(cls)).where(
         F.col(cls).isin(list(tp.CLASSES))
     )
+    together = tp.one_pass_profile(rows, text, cls, lexicon, tp.top_brands(rows, text))
+
+    def section(name: str, key: str, value: str) -> DataFrame:
+        return together.where(F.col("section") == name).select(
+            F.col("name").alias(key), "class", F.col("value").alias(value)
+        )
+
     return {
         "basic_stats": text_stats(rows, text, cls),
         "top_words": tp.top_words(rows, text, cls),
         "distinctive_words": tp.distinctive_words(rows, text, cls, k=15),
-        "numeric_patterns": tp.numeric_patterns(rows, text, cls),
+        "numeric_patterns": section("numeric_patterns", "pattern", "matches"),
         "years": tp.year_stats(rows, text, cls),
         "top_years": tp.top_years(rows, text, cls),
-        "brand_candidates": tp.brand_candidates(df, text),
-        "brand_distribution": tp.brand_distribution(rows, text, cls),
-        "category_stats": tp.category_stats(rows, text, cls, lexicon),
-        "special_patterns": tp.special_patterns(rows, text, cls),
+        "brand_candidates": tp.brand_candidates(rows, text),
+        "brand_distribution": tp.class_rows_with_share(section("brand_distribution", "brand", "rows"), "brand"),
+        "category_stats": tp.class_rows_with_share(section("category_stats", "category", "rows"), "category"),
+        "special_patterns": section("special_patterns", "pattern", "rows"),
     }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="listlens-checkpoint-"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new, still unused path below the checkpoint folder, reachable by every executor."""
+    ensure_checkpoint_dir(spark)
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")
+    return f"{base}/listlens-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the checkpoint folder and go on from there.
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from listlens.functions.encode import label_code
 from listlens.session import null_safe_join
 
 _TEXT, _TEXTS = T.StringType(), T.ArrayType(T.StringType())
@@ -141,10 +142,7 @@ def stratified_split(
 
 def encode_label(df: DataFrame, column: str, codes: dict[str, int]) -> DataFrame:
     """Replace label text by its code; other values become null."""
-    expr = F.lit(None).cast("int")
-    for text, code in codes.items():
-        expr = F.when(F.col(column) == text, F.lit(code)).otherwise(expr)
-    return df.withColumn(column, expr)
+    return df.withColumn(column, label_code(F.col(column), codes))
 
 
 def load_train_test(

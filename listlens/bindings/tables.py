@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listlens.sources.files import spread
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """A driver table; ``heavy`` deals a small file out to all cores before costly per-row work."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if heavy else rows
 
 
 # Labelled documents: quality plays the part of the listing's condition.
@@ -19,7 +23,7 @@ DOC_LABELS = """(select d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality
 def doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = F.when(F.col("quality") == 1, "new").otherwise("used")
     return (
-        table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").withColumn("condition", q)
+        table(spark, sf_dir, "documents", True).join(table(spark, sf_dir, "labels"), "doc_id").withColumn("condition", q)
     )
 
 
@@ -52,7 +56,7 @@ def title_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their part and order, a title and a condition; other columns stay for pruning."""
     c = F.col
     rows = (
-        table(spark, sf_dir, "lineitem")
+        table(spark, sf_dir, "lineitem", True)
         .join(table(spark, sf_dir, "part"), c("l_partkey") == c("p_partkey"))
         .join(
             table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus"),

@@ -32,7 +32,7 @@ def q(text: str) -> str:
 
 @query("t1_clean", "select doc_id, trim(coalesce(text, '')) as text from documents")
 def _(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.clean(c("text")).alias("text"))
+    return table(spark, d, "documents", True).select("doc_id", tx.clean(c("text")).alias("text"))
 
 
 def norm_sql(col: str) -> str:
@@ -43,7 +43,7 @@ def norm_sql(col: str) -> str:
 
 @query("t2_normalise", f"select doc_id, {norm_sql('text')} as text from documents")
 def _(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.normalise(c("text")).alias("text"))
+    return table(spark, d, "documents", True).select("doc_id", tx.normalise(c("text")).alias("text"))
 
 
 DOC_WORDS = words_sql(DOC_LABELS, "text")
@@ -133,12 +133,12 @@ def brands_sql(source: str, text: str) -> str:
 
 @query("t7_brand_counts", f"select brand, count from {brands_sql('documents', 'text')}")
 def _(spark, d):
-    return tp.brand_counts(table(spark, d, "documents"), "text")
+    return tp.brand_counts(table(spark, d, "documents", True), "text")
 
 
 @query("t7_brand_candidates", f"select brand, count from (select * from {brands_sql('documents', 'text')} order by count desc, brand limit 50) where count >= 3")
 def _(spark, d):
-    return tp.brand_candidates(table(spark, d, "documents"), "text")
+    return tp.brand_candidates(table(spark, d, "documents", True), "text")
 
 
 def top_brands_sql(source: str) -> str:
@@ -318,12 +318,13 @@ def _categorise_sql() -> str:
 
 @query("t15_categorise", _categorise_sql())
 def _(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.categorise(c("text"), LANGUAGES, "unknown").alias("guess"))
+    rows = table(spark, d, "documents", True).select("doc_id", "text")
+    return tx.with_category(rows, "text", "guess", LANGUAGES, "unknown").drop("text")
 
 
 @query("t16_render", "select doc_id, 'Title: \"' || text || '\" in ' || lang || ' {json}' as prompt from documents")
 def _(spark, d):
-    return table(spark, d, "documents").select(
+    return table(spark, d, "documents", True).select(
         "doc_id", tx.render('Title: "{text}" in {lang} {json}', {"text": c("text"), "lang": c("lang")}).alias("prompt")
     )
 
@@ -358,4 +359,4 @@ def _(spark, d):
     def by_length(texts):
         return ["long" if len(t) > 1000 else "short" for t in texts]
 
-    return score_text(table(spark, d, "documents").select("doc_id", "text"), "text", by_length, "label", default="blank").drop("text")
+    return score_text(table(spark, d, "documents", True).select("doc_id", "text"), "text", by_length, "label", default="blank").drop("text")

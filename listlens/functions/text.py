@@ -35,9 +35,9 @@ def clean(text: Column) -> Column:
 
 
 def normalise(text: Column) -> Column:
-    """Lower case; anything but word characters, blanks and ``-.()`` becomes one space."""
+    """Lower case; every run of anything but word characters and ``-.()`` becomes one space."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    return F.trim(F.regexp_replace(F.regexp_replace(low, rf"[^{WORD}\s\-.()]", " "), r"\s+", " "))
+    return F.trim(F.regexp_replace(low, rf"[^{WORD}\-.()]+", " "))
 
 
 def word_count(text: Column) -> Column:
@@ -45,46 +45,58 @@ def word_count(text: Column) -> Column:
 
 
 def tokens(text: Column, min_length: int = 3) -> Column:
-    """Lower-cased words of at least ``min_length`` characters."""
-    words = F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), rf"[^{WORD}\s]", " "), r"\s+")
-    return F.filter(words, lambda w: F.length(w) >= min_length)
+    """Lower-cased runs of word characters, of at least ``min_length``."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"[{WORD}]{{{min_length},}}"), F.lit(0))
 
 
-def contains_word(text: Column, word: str, whole_word: bool = False) -> Column:
+def contains_word(text: Column, word: Column, whole_word: bool = False) -> Column:
     """Substring test; with ``whole_word`` the hit must not touch other word characters."""
     if not whole_word:
-        return text.contains(word)
-    return text.rlike(rf"(?<![{WORD}])\Q{word}\E(?![{WORD}])")
+        return F.contains(text, word)
+    return F.rlike(text, F.concat(F.lit(rf"(?<![{WORD}])\Q"), word, F.lit(rf"\E(?![{WORD}])")))
 
 
 def lexicon_count(text: Column, words: Sequence[str], whole_word: bool = False) -> Column:
-    """How many of the words occur in the text."""
-    out = F.lit(0)
-    for w in words:
-        out = out + contains_word(text, w, whole_word).cast("int")
-    return out
+    """How many of the words occur in the text.
+
+    A filter over a constant array: one small expression per word list instead of one per word,
+    which keeps wide projections inside what the JIT compiles. ``text`` should be a plain column.
+    """
+    return F.size(F.filter(_constant(words), lambda w: contains_word(text, w, whole_word)))
 
 
 def lexicon_any(text: Column, words: Sequence[str], whole_word: bool = False) -> Column:
-    out = F.lit(False)
-    for w in words:
-        out = out | contains_word(text, w, whole_word)
-    return out
+    return F.exists(_constant(words), lambda w: contains_word(text, w, whole_word))
+
+
+def _constant(words: Sequence[str]) -> Column:
+    return F.array(*[F.lit(w) for w in words])
 
 
 def categorise(text: Column, lexicon: Mapping[str, Sequence[str]], default: str) -> Column:
-    """Label with the most matching words, ties to the first listed; blank or unmatched text -> default."""
-    low = F.lower(F.coalesce(text, F.lit("")))
+    """Label with the most matching words, ties to the first listed; blank or unmatched text -> default.
+
+    ``text`` should be a plain lower-case column; ``with_category`` prepares one.
+    """
     scored = F.array(
         *[
-            F.struct(lexicon_count(low, words).alias("score"), F.lit(-i).alias("rank"), F.lit(label).alias("label"))
+            F.struct(lexicon_count(text, words).alias("score"), F.lit(-i).alias("rank"), F.lit(label).alias("label"))
             for i, (label, words) in enumerate(lexicon.items())
         ]
     )
     best = F.array_max(scored)
-    return F.when((F.trim(low) == "") | (best.getField("score") == 0), F.lit(default)).otherwise(
-        best.getField("label")
-    )
+    return F.when(best.getField("score") > 0, best.getField("label")).otherwise(F.lit(default))
+
+
+def with_category(df: DataFrame, text: str, output: str, lexicon: Mapping[str, Sequence[str]], default: str) -> DataFrame:
+    """Add the rule-based category of a free text."""
+    low = df.withColumn("__low", F.lower(F.coalesce(F.col(text), F.lit(""))))
+    return low.withColumn(output, categorise(F.col("__low"), lexicon, default)).drop("__low")
+
+
+def with_warranty_category(df: DataFrame, text: str = "warranty", output: str = "warranty_category") -> DataFrame:
+    """One of the nine warranty labels; blank text has no warranty."""
+    return with_category(df, text, output, fv.WARRANTY_WORDS, fv.WARRANTY_LABELS[-1])
 
 
 def render(template: str, columns: Mapping[str, Column]) -> Column:

@@ -51,6 +51,17 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame, at_most: int = 32) -> DataFrame:
+    """Deal the rows of a small scan out evenly before CPU-heavy work per row.
+
+    Only a scan of at most ``at_most`` splits (4 GB at Spark's default split size) with fewer splits
+    than half the cores is dealt out; any larger source stays as it is read. Call it on the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores) if splits <= at_most and splits * 2 <= cores else df
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 

@@ -13,6 +13,7 @@ from listlens.functions.scoring import score_text
 from listlens.operators import text_profile as tp
 from listlens.operators import tfidf
 from listlens.plans.title_report import title_report
+from listlens.session import cut_lineage
 
 c = F.col
 LEXICON = {
@@ -209,7 +210,8 @@ def _report_sql() -> str:
 
 @query("t11_title_report", _report_sql())
 def _(spark, d):
-    return title_report(title_rows(spark, d), "title", "condition", LEXICON)
+    # Nine sections read the titles; their join is done once.
+    return title_report(cut_lineage(title_rows(spark, d).select("title", "condition")), "title", "condition", LEXICON)
 
 
 # ---- the 57 title features, in three slices ----

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
+from pyspark.ml.feature import PCA, PCAModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listlens.session import cut_lineage, null_safe_join, with_totals
+from listlens.session import broadcast_if_small, cut_lineage, null_safe_join
 
 _SLICE = "__slice"
 
@@ -17,8 +17,9 @@ def running_total(
     sums: Mapping[str, str],
     order: Sequence[Column],
     by: tuple[str, ...] = (),
+    totals: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Add inclusive running sums of ``sums`` (output name -> column) within ``by``.
+    """Add inclusive running sums of ``sums`` (output name -> column) within ``by``, and group ``totals``.
 
     Rows are range-partitioned on the order, summed inside each range, and lifted by the total of
     the ranges before it, so no task ever sees more than one range. ``order`` must end in a column
@@ -31,22 +32,29 @@ def running_total(
         )
     )
     inside = Window.partitionBy(*by, _SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    # At most one row per range and group: ``parts`` rows when ungrouped.
+    # One row per range and group: ``parts`` rows when ungrouped.
     before = Window.partitionBy(*by).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy(*by)
+    totals = totals or {}
     lifts = (
         ranged.groupBy(*by, _SLICE)
-        .agg(*[F.sum(c).alias(f"__{out}") for out, c in sums.items()])
+        .agg(
+            *[F.sum(c).alias(f"__{out}") for out, c in sums.items()],
+            *[F.sum(c).alias(f"__t_{out}") for out, c in totals.items()],
+        )
         .select(
             *by,
             _SLICE,
             *[F.coalesce(F.sum(f"__{out}").over(before), F.lit(0)).alias(f"__lift_{out}") for out in sums],
+            *[F.sum(f"__t_{out}").over(group).alias(out) for out in totals],
         )
     )
     local = ranged.select("*", *[F.sum(c).over(inside).alias(f"__in_{out}") for out, c in sums.items()])
-    joined = null_safe_join(local, lifts if by else F.broadcast(lifts), (*by, _SLICE))
+    joined = null_safe_join(local, broadcast_if_small(lifts), (*by, _SLICE))
     return joined.select(
         *df.columns,
         *[(F.col(f"__in_{out}") + F.col(f"__lift_{out}")).alias(out) for out in sums],
+        *totals,
     )
 
 
@@ -56,13 +64,10 @@ def running_share(counts: DataFrame, value: str, order: Sequence[Column]) -> Dat
         counts.withColumn("__one", F.lit(1).cast("long")),
         {"__cum": value, "position": "__one"},
         order,
+        totals={"__total": value},
     )
-    total = counts.agg(F.sum(value).alias("__total"))
-    return (
-        with_totals(ranked, total)
-        .withColumn("cum_share", F.try_divide(F.col("__cum").cast("double"), F.col("__total")))
-        .drop("__one", "__cum", "__total")
-    )
+    share = F.try_divide(F.col("__cum").cast("double"), F.col("__total"))
+    return ranked.withColumn("cum_share", share).drop("__one", "__cum", "__total")
 
 
 def first_reaching(shares: DataFrame, thresholds: Sequence[float]) -> DataFrame:

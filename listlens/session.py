@@ -36,6 +36,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def broadcast_if_small(df: DataFrame, at_most: int = 10_000) -> DataFrame:
+    """The rows as a broadcast local table if there are at most ``at_most``, else the frame as it is.
+
+    For tables that are small in all likelihood (a row per class, per range): the size is counted,
+    not assumed, and a larger one is joined by shuffle.
+    """
+    rows = df.limit(at_most + 1).collect()
+    if len(rows) > at_most:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def with_totals(df: DataFrame, totals: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Attach per-group totals; ungrouped totals (one row) come in as scalar subqueries."""
     if not by:

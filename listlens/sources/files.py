@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listlens.functions.encode import label_code
-from listlens.session import null_safe_join
+from listlens.session import broadcast_if_small, null_safe_join
 
 _TEXT, _TEXTS = T.StringType(), T.ArrayType(T.StringType())
 
@@ -142,13 +142,13 @@ def stratified_split(
     at_cut = at_cut.select(cls, "__cell", (F.col("__want") - F.col("__upto") + F.col("__n")).alias("__take"))
     w = Window.partitionBy(cls).orderBy("__h", key)
     last = (
-        null_safe_join(marked.select(cls, key, "__h", "__cell"), at_cut, (cls, "__cell"))
+        null_safe_join(marked.select(cls, key, "__h", "__cell"), broadcast_if_small(at_cut), (cls, "__cell"))
         .withColumn("__place", F.row_number().over(w))
         .where(F.col("__place") == F.col("__take"))
         .select(cls, F.struct(F.col("__h"), F.col(key).alias("k")).alias("__last"))
     )
     mine = F.struct(F.col("__h"), F.col(key).alias("k"))
-    return null_safe_join(marked, last, (cls,)).select(*df.columns, (mine <= F.col("__last")).alias("is_test"))
+    return null_safe_join(marked, broadcast_if_small(last), (cls,)).select(*df.columns, (mine <= F.col("__last")).alias("is_test"))
 
 
 def encode_label(df: DataFrame, column: str, codes: dict[str, int]) -> DataFrame:

@@ -299,14 +299,23 @@ def _(spark, d):
     return spark.createDataFrame([(t, float(w)) for t, w in rows], "term string, weight double")
 
 
-@query("t13_tfidf_vectors")
+DOC_GRAMS = GRAMS.replace(TITLES, DOC_LABELS).replace("row_number() over () as id", "doc_id as id").replace(norm_sql("title"), norm_sql("text"))
+
+
+@query("t13_tfidf_vectors", f"""
+with g as (select id, term, count(*) as n from {DOC_GRAMS} group by 1, 2),
+ d as (select count(*) as docs from {DOC_LABELS}),
+ v as (select term, ln((1 + docs)::double / (1 + df)) + 1 as w from (select term, sum(n) as tf, count(*) as df from g group by 1), d
+  where df >= 2 and df <= 0.95::double * docs order by tf desc, term limit 500),
+ s as (select id, count(*) as terms, sum((1 + ln(n)) * w) as total, sqrt(sum(((1 + ln(n)) * w) * ((1 + ln(n)) * w))) as norm from g join v using (term) group by 1)
+select doc_id, coalesce(terms, 0)::bigint as terms, round(coalesce(total / norm, 0), 6) as total from {DOC_LABELS} left join s on doc_id = id""")
 def _(spark, d):
     rows = doc_labels(spark, d).select("doc_id", "text")
     model = tfidf.TextTfidf(inputCol="text").fit(rows)
     values = vector_to_array(c("tfidf"))
     return model.transform(rows).select(
         "doc_id", F.size(F.filter(values, lambda v: v > 0)).alias("terms"),
-        F.aggregate(values, F.lit(0.0), lambda s, v: s + v * v).alias("squared_length"),
+        F.aggregate(values, F.lit(0.0), lambda s, v: s + v).alias("total"),
     )
 
 

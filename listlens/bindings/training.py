@@ -394,25 +394,21 @@ def _(spark, d):
 def _small_grids():
     rf = RandomForestClassifier(labelCol="label", seed=42)
     lr = LogisticRegression(labelCol="label", maxIter=50)
-    gbt = GBTClassifier(labelCol="label", seed=42)
     return {
         "RandomForest": (rf, ParamGridBuilder().addGrid(rf.numTrees, [10]).addGrid(rf.maxDepth, [3, 5]).build()),
         "LogisticRegression": (
             Pipeline(stages=models._scaled(lr)), ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01]).build()
         ),
-        "GradientBoosting": (gbt, ParamGridBuilder().addGrid(gbt.maxIter, [5]).addGrid(gbt.maxDepth, [2]).build()),
     }
 
 
-@query("m5_to_m8_grids")
+@query("m6_to_m8_boosting")
 def _(spark, d):
-    # Fits each family's grid would need, next to the rows it would be fitted on.
-    rows = []
-    for quick in (True, False):
-        rows += [(n, quick, len(g), models.fits(g)) for n, (_, g) in models.grids(quick).items()]
-    sizes = spark.createDataFrame(rows, "model string, quick boolean, configurations int, fits int")
-    n = doc_labels(spark, d).agg(F.count(F.lit(1)).alias("rows"))
-    return sizes.withColumn("rows", n.scalar())
+    rows = _vectorised(_doc_features(spark, d))
+    folded = models.stratified_folds(rows, "quality", "doc_id").select("label", "features", "fold")
+    gbt = GBTClassifier(labelCol="label", seed=42)
+    grid = ParamGridBuilder().addGrid(gbt.maxIter, [5]).addGrid(gbt.maxDepth, [2]).addGrid(gbt.stepSize, [0.1, 0.2]).build()
+    return models.top_configs(spark, models.grid_search(folded, gbt, grid, name="GradientBoosting"))
 
 
 @query("m9_m16_grid_search")

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listlens.functions.encode import label_code
+from listlens.operators.ordering import running_total
 from listlens.session import broadcast_if_small, null_safe_join
 
+# Most keys one task sorts for a hold-out.
+_TOP_KEYS = 1_000_000
 _TEXT, _TEXTS = T.StringType(), T.ArrayType(T.StringType())
 
 
@@ -106,10 +109,16 @@ def require_rows(df: DataFrame) -> DataFrame:
 def holdout_last(df: DataFrame, key: str, n: int = 10_000) -> tuple[DataFrame, DataFrame]:
     """Train = all but the last ``n`` rows in key order, test = these ``n``.
 
-    Only the ``n`` largest keys meet in one place; everything else is a filter on the scan.
-    Keys must be unique.
+    For a test part that fits a task only the ``n`` largest keys meet in one place; a larger one is
+    counted off range by range. Everything else is a filter on the scan. Keys must be unique.
     """
-    cut = df.select(key).orderBy(F.desc(key)).limit(n).agg(F.min(key)).scalar()
+    keys = df.select(key)
+    if n <= _TOP_KEYS:
+        last = keys.orderBy(F.desc(key)).limit(n)
+    else:
+        ranked = running_total(keys.withColumn("__one", F.lit(1).cast("long")), {"__place": "__one"}, [F.desc(key)])
+        last = ranked.where(F.col("__place") <= n)
+    cut = last.agg(F.min(key)).scalar()
     return df.where(F.col(key) < cut), df.where(F.col(key) >= cut)
 
 

@@ -80,6 +80,13 @@ def test_holdout_last(spark):
     assert sorted(r["id"] for r in test.collect()) == list(range(2900, 3000)) and train.count() == 2900
 
 
+def test_large_holdout_is_counted_off(spark, monkeypatch):
+    monkeypatch.setattr(files, "_TOP_KEYS", 10)
+    df, _ = skewed(spark)
+    train, test = files.holdout_last(df, "id", 1200)
+    assert sorted(r["id"] for r in test.collect()) == list(range(1800, 3000)) and train.count() == 1800
+
+
 def test_oversample_equalises(spark):
     df, rows = skewed(spark)
     sizes = {r["k"]: r["count"] for r in balance.oversample(df, "k", "id").groupBy("k").count().collect()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
@@ -11,13 +12,13 @@ from listlens import fixed_values as fv
 from listlens.bindings.registry import query
 from listlens.bindings.tables import DOC_LABELS, LISTINGS, TITLES, doc_labels, listings, table, title_rows
 from listlens.functions import encode
-from listlens.functions.text import TITLE_FEATURES, with_title_features
 from listlens.operators import analysis as an
 from listlens.operators import balance, counts, evaluate, models, ordering, sets
 from listlens.plans.feature_selection import analyse_features
-from listlens.plans.listing_features import balanced, listing_features, training_features
+from listlens.plans.listing_features import balanced, listing_features
 from listlens.plans.model_selection import select_model
 from listlens.plans.title_model import hybrid_stages, train_title_model
+from listlens.sources.files import stratified_split
 
 c = F.col
 NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -368,8 +369,6 @@ def _(spark, d):
 
 # ---- training ----
 def _split(spark, d):
-    from listlens.sources.files import stratified_split
-
     rows = stratified_split(_doc_features(spark, d), "quality", "doc_id", 0.2)
     return rows.where("not is_test"), rows.where("is_test")
 
@@ -450,8 +449,6 @@ def _(spark, d):
 
 @query("t14_hybrid_matrix")
 def _(spark, d):
-    from pyspark.ml.functions import vector_to_array
-
     rows = doc_labels(spark, d).select("doc_id", c("text").alias("title"))
     model = Pipeline(stages=hybrid_stages("title", 100)).fit(rows)
     values = vector_to_array("features")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from listlens.llm import bpe_segtree, exact_dedup, mixing_budget, simhash_bk, toxicity
+from listlens.llm import bpe_segtree, exact_dedup, lattice_lm, mixing_budget, multiset_hash, pii_feistel, simhash_bk, substring_cms, toxicity, warc_salvage
 from listlens.llm.shared import table
 
 
@@ -16,13 +16,19 @@ def _over(fn: Callable[[DataFrame], DataFrame], name: str = "documents") -> Call
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": _over(exact_dedup.op1),
+    "op2_warc": _over(warc_salvage.op2, "pages"),
     "op3_toxicity": toxicity.op3,
     "op4_simhash": _over(simhash_bk.op4),
+    "op5_substring": _over(substring_cms.op5),
+    "op6_pseudonyms": _over(pii_feistel.op6),
+    "op7_lattice": _over(lattice_lm.op7),
+    "op8_multiset_hash": _over(multiset_hash.op8),
     "op9_bpe": _over(bpe_segtree.op9),
     "op10_mixing": _over(mixing_budget.op10),
 }
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL_OP1,
+    "op2_warc": warc_salvage.SQL_OP2,
     "op10_mixing": mixing_budget.SQL_OP10,
 }

@@ -185,12 +185,11 @@ def pseudonym(found: Column, kind: Column, key: str = KEY, undo: bool = False) -
     local = F.substring(found, F.length(code) + 1, F.length(found))
     octets = F.transform(F.split(found, r"\."), lambda p: p.cast("int"))
     ip = F.aggregate(octets, F.lit(0).cast("bigint"), lambda acc, p: acc * 256 + p)
-    ip_moved = _walk_ip(ip, kind, key, undo)
     return (
         F.when(kind == "card", _refill(found, F.concat(moved, check)))
         .when(kind == "iban", _refill(found, F.concat(pair, account)))
         .when(kind == "date", _moved_date(found, kind, key, undo))
-        .when(kind == "ipv4", F.concat_ws(".", *[F.pmod(F.shiftright(ip_moved, s), F.lit(256)).cast("string") for s in (24, 16, 8, 0)]))
+        .when(kind == "ipv4", _walk_ip(ip, kind, key, undo))
         .when(kind == "phone", F.concat(code, _refill(local, feistel(digits_of(local), kind, key, undo))))
         .when(kind == "ssn", _refill(found, _walk_ssn(digits, kind, key, undo)))
         .when(kind == "email", _moved_email(found, key, undo))
@@ -199,9 +198,10 @@ def pseudonym(found: Column, kind: Column, key: str = KEY, undo: bool = False) -
 
 
 def _walk_ip(ip: Column, kind: Column, key: str, undo: bool) -> Column:
-    """A permutation of the 2^32 addresses: ten digits, again until inside."""
+    """A permutation of the 2^32 addresses (ten digits, again until inside), as dotted text."""
+    dotted = lambda x: F.concat_ws(".", *[F.pmod(F.shiftright(x, s), F.lit(256)).cast("string") for s in (24, 16, 8, 0)])
     once = lambda x: feistel(F.lpad(x.cast("string"), 10, "0"), kind, key, undo).cast("bigint")
-    return F.aggregate(F.sequence(F.lit(1), F.lit(64)), once(ip), lambda acc, _: F.when(acc >= 1 << 32, once(acc)).otherwise(acc))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(64)), once(ip), lambda acc, _: F.when(acc >= 1 << 32, once(acc)).otherwise(acc), dotted)
 
 
 def _walk_ssn(digits: Column, kind: Column, key: str, undo: bool) -> Column:
@@ -214,9 +214,10 @@ def _walk_ssn(digits: Column, kind: Column, key: str, undo: bool) -> Column:
 def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = KEY, undo: bool = False) -> DataFrame:
     """One row per document: (id, text with pseudonyms, finds: array of kind and pseudonym)."""
     text = docs[text_col]
+    # Every pattern needs a digit or an @: most texts have none and are not searched further.
     found = docs.select(
-        docs[id_col].alias("id"), text.alias("text"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)).alias("found"), F.split(text, ANY, -1).alias("between"),
-    )
+        docs[id_col].alias("id"), text.alias("text"), F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).alias("found")
+    ).withColumn("between", F.when(F.size("found") > 0, F.split("text", ANY, -1)))
     kinds = F.transform("found", lambda x: F.struct(x.alias("value"), kind_of(x).alias("kind")))
     judged = F.transform(kinds, lambda x: F.struct(x["value"].alias("value"), F.when(valid(x["value"], x["kind"]), x["kind"]).alias("kind")))
     moved = F.transform(judged, lambda x: F.struct(

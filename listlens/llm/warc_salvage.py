@@ -227,7 +227,7 @@ def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
             for uri in pdf["file"]:
                 store, path = fs.FileSystem.from_uri(_uri(uri))
                 rows, held = [], 0
-                with store.open_input_stream(path) as f:
+                with store.open_input_stream(path, compression=None) as f:
                     for x in salvage(f, path.endswith(".gz")):
                         if not payloads:
                             x["payload"] = None
@@ -243,8 +243,7 @@ def read_archives(files: DataFrame, payloads: bool = True) -> DataFrame:
 
 
 def _frame(rows: list[dict]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=_FIELDS)
-    return out.astype({"payload_bytes": "Int64", "offset": "Int64", "length": "Int64"})
+    return pd.DataFrame({f: pd.Series([r.get(f) for r in rows], dtype=object) for f in _FIELDS})
 
 
 def files_below(spark: SparkSession, folder: str) -> DataFrame:
@@ -283,7 +282,7 @@ def write_archives(records: DataFrame, folder: str, key: str, payload: str, url:
             for k, u, body, ref, revisit in zip(pdf["k"], pdf["u"], pdf["body"], pdf["ref"], pdf["revisit"]):
                 if out is None:
                     name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}-{len(done):04d}.warc.gz"
-                    out, at, n = store.open_output_stream(f"{base}/{name}"), 0, 0
+                    out, at, n = store.open_output_stream(f"{base}/{name}", compression=None), 0, 0
                 member = gzip_member(record_bytes(k, u, bytes(body), ref, bool(revisit)))
                 out.write(member)
                 at, n = at + len(member), n + 1

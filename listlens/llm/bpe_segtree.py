@@ -305,7 +305,7 @@ def detokenise(encoded: DataFrame, vocabulary: str) -> DataFrame:
 
     @F.pandas_udf("string")
     def decode(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda x: _bpe(spec.value).decode(x.tolist()))
+        return pd.Series([_bpe(spec.value).decode(x.tolist()) for x in ids], dtype=object)
 
     return encoded.select("id", decode("ids").alias("text"))
 
@@ -321,7 +321,7 @@ def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
             for found in bpe.results(some):
                 counts, ids, shown = zip(*found) if found else ((), (), ())
                 out.append((sum(counts), _sha256(ids), _sha256(shown)))
-        return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"], dtype=object)
 
     return docs.select(docs[id_col].alias("doc_id"), digests(docs[text_col]).alias("x")).select("doc_id", "x.*")
 

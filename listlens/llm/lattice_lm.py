@@ -242,6 +242,10 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(shared.id_text(id_col)) % 7 == 2
 
 
+def _counted(seen: Counter[str]) -> pd.DataFrame:
+    return pd.DataFrame({"word": pd.Series(list(seen.keys()), dtype=object), "c": pd.Series(list(seen.values()), dtype="int64")})
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, c) over column ``text``, the end of each text as the empty word."""
 
@@ -252,9 +256,9 @@ def word_counts(texts: DataFrame) -> DataFrame:
                 seen.update(text_words(text))
                 seen[END] += 1
                 if len(seen) > 500_000:
-                    yield pd.DataFrame({"word": list(seen.keys()), "c": list(seen.values())})
+                    yield _counted(seen)
                     seen.clear()
-        yield pd.DataFrame({"word": list(seen.keys()), "c": list(seen.values())}, columns=["word", "c"]).astype({"c": "int64"})
+        yield _counted(seen)
 
     return texts.select("text").mapInPandas(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -336,7 +340,7 @@ def score(docs: DataFrame, counts: DataFrame, pieces: list[str], weights: np.nda
                     for w, n in t.items():
                         if w not in met:
                             rows.append(row), words.append(w), times.append(n), ids.append(None), docs_of.append(None)
-                yield pd.DataFrame({"row": rows, "word": words, "tf": times, "id": pd.Series(ids, dtype=object), "doc": docs_of})
+                yield pd.DataFrame({"row": rows, "word": pd.Series(words, dtype=object), "tf": times, "id": pd.Series(ids, dtype=object), "doc": docs_of})
 
     # Ids travel as text: null numbers would make a pandas column of floats.
     numbered = docs.select(docs[id_col].cast("string").alias("id"), docs[text_col].alias("text"), F.monotonically_increasing_id().alias("row"))

@@ -293,7 +293,7 @@ def write_archives(records: DataFrame, folder: str, key: str, payload: str, url:
         if out is not None:
             out.close()
             done.append((f"{folder}/{name}", n, at))
-        yield pd.DataFrame(done, columns=["file", "records", "bytes"])
+        yield pd.DataFrame(done, columns=["file", "records", "bytes"], dtype=object)
 
     rows = records.select(
         F.col(key).cast("string").alias("k"), (F.col(url).cast("string") if url else F.lit(None).cast("string")).alias("u"),

@@ -167,7 +167,7 @@ def tox_tables(spark, n=600, bias=True):
             s += f". those muslim people {prose(i + 1, 3)}"
         elif r.random() < 0.3:
             s += f". a {group} family {prose(i + 2, 3)}"
-        if toxic:
+        if toxic and r.random() < 0.6:
             s += " " + r.choice(("vileword", "vilewords", "vileness"))
         texts.append((i, s))
         labels.append((i, toxic))
@@ -262,9 +262,20 @@ def test_estimates_are_never_low(spark):
     df = docs(spark, repeat_rows()).repartition(5)
     bits, windows = SC.sketch(df)
     assert windows == sum(max(0, len((t or "").split()) - 12) for _, t in repeat_rows())
-    low, _ = SC.Words().hashes(SC.text_words(repeat_rows()[0][1]))
-    shared_windows = SC.repeated(bits, SC.minimizers(low))[30:78]  # the passage is in 30 documents
-    assert shared_windows.all()
+    x = next(SC.stretches([(0, repeat_rows()[0][1])], SC.Words()))
+    assert SC.repeated(bits, x.least)[30:78].all()  # the passage is in 30 documents
+
+
+def test_stretches_hold_every_window_once():
+    texts = [prose(i, n) for i, n in enumerate((5, 13, 400, 12, 90))]
+    words = [t.encode().split() for t in texts]
+    want = [(d, k) for d, w in enumerate(words) for k in range(len(w) - 12)]
+    keys = []
+    for most in (1 << 17, 50, 14):
+        xs = list(SC.stretches(enumerate(texts), SC.Words(), most))
+        assert sorted((int(d), int(a)) for x in xs for d, a in zip(x.doc, x.at)) == want
+        keys.append({(int(d), int(a)): k for x in xs for d, a, k in zip(x.doc, x.at, zip(x.least, *SC.window_keys(x.low, x.high, x.start)))})
+    assert keys[0] == keys[1] == keys[2]
 
 
 def test_kept_text(spark):

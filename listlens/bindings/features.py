@@ -174,10 +174,9 @@ def _(spark, d):
 select o_orderkey, dense_rank() over (order by o_orderstatus)::bigint - 1 as code, o_orderstatus as decoded from orders""")
 def _(spark, d):
     rows = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
-    codes = encode.fit_label_codes(rows, "o_orderstatus")
-    return rows.select("o_orderkey", encode.label_code(c("o_orderstatus"), codes).alias("code")).withColumn(
-        "decoded", encode.label_name(c("code"), codes)
-    )
+    codes = counts.code_table(rows, "o_orderstatus")
+    coded = rows.join(codes, "o_orderstatus").select("o_orderkey", "code")
+    return coded.join(codes, "code").select("o_orderkey", "code", c("o_orderstatus").alias("decoded"))
 
 
 TOP = ["NATION_3", "NATION_1", "NATION_7", "NATION_20"]

@@ -304,7 +304,7 @@ def _(spark, d):
 @query("a8_text_stats", f"""
 select condition as class, count(*)::bigint as count, round(avg(length(text)), 6) as avg_length, median(length(text)) as median_length,
  round(avg(w), 6) as avg_words, median(w) as median_words, max(length(text))::bigint as max_length, min(length(text))::bigint as min_length
-from (select *, case when trim(text) = '' then 0 else len(string_split_regex(trim(text), '\\s+')) end as w from {DOC_LABELS}) group by 1""")
+from (select *, len(regexp_extract_all(text, '\\S+')) as w from {DOC_LABELS}) group by 1""")
 def _(spark, d):
     return counts.text_stats(doc_labels(spark, d), "text", "condition")
 

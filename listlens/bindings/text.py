@@ -31,7 +31,7 @@ def q(text: str) -> str:
     return text.replace("'", "''")
 
 
-@query("t1_clean", "select doc_id, trim(coalesce(text, '')) as text from documents")
+@query("t1_clean", "select doc_id, regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') as text from documents")
 def _(spark, d):
     return table(spark, d, "documents", True).select("doc_id", tx.clean(c("text")).alias("text"))
 
@@ -184,7 +184,7 @@ def _(spark, d):
 def _report_sql() -> str:
     words = words_sql("lt", "title")
     stats = """select condition as class, count(*)::double as count, avg(length(title)) as avg_length, median(length(title)) as median_length,
- avg(len(string_split_regex(trim(title), '\\s+'))) as avg_words, median(len(string_split_regex(trim(title), '\\s+'))) as median_words,
+ avg(len(regexp_extract_all(title, '\\S+'))) as avg_words, median(len(regexp_extract_all(title, '\\S+'))) as median_words,
  max(length(title))::double as max_length, min(length(title))::double as min_length from lt group by 1"""
     years = YEARS.replace(TITLES, "lt")
     parts = [

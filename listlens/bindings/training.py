@@ -6,11 +6,12 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from listlens import fixed_values as fv
 from listlens.bindings.registry import query
-from listlens.bindings.tables import DOC_LABELS, LISTINGS, TITLES, doc_labels, listings, table, title_rows
+from listlens.bindings.tables import DOC_LABELS, DOC_OUTER, LISTINGS, TITLES, doc_labels, doc_outer, listings, table, title_rows
 from listlens.functions import encode
 from listlens.operators import analysis as an
 from listlens.operators import balance, counts, evaluate, models, ordering, sets
@@ -44,6 +45,11 @@ def _(spark, d):
     return an.correlation_matrix(table(spark, d, "lineitem"), NUMERIC)
 
 
+@query("f1_correlation_nulls", _corr_sql(["n_chars", "quality"], DOC_OUTER))
+def _(spark, d):
+    return an.correlation_matrix(doc_outer(spark, d), ["n_chars", "quality"])
+
+
 @query("f2_correlated_pairs", f"select feature1, feature2, correlation from ({_corr_sql([*NUMERIC, 'revenue'], REVENUE)}) where i < j and abs(correlation) > 0.8")
 def _(spark, d):
     return an.correlated_pairs(an.correlation_matrix(_lines(spark, d), [*NUMERIC, "revenue", "constant"]))
@@ -170,14 +176,14 @@ def _(spark, d):
 @query("f13_selected_dataset")
 def _(spark, d):
     rows = _doc_features(spark, d)
-    found = analyse_features(rows, "quality", DOC_FEATURES, pca=False, trees=20)
+    found = analyse_features(rows, "quality", DOC_FEATURES, pca=False)
     return found.train_selected
 
 
 @query("f14_summary")
 def _(spark, d):
     rows = _doc_features(spark, d)
-    return analyse_features(rows, "quality", DOC_FEATURES, rows.drop("quality"), trees=20).summary
+    return analyse_features(rows, "quality", DOC_FEATURES, rows.drop("quality")).summary
 
 
 # ---- balancing ----
@@ -190,6 +196,20 @@ def _(spark, d):
     return rows.groupBy("quality", "is_synthetic").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query("b1_nearest", """
+select c_custkey, neighbour, round(sqrt(d), 4) as distance from (
+ select a.c_custkey, b.c_custkey as neighbour,
+  (a.c_acctbal - b.c_acctbal) ** 2 + case when a.c_nationkey = b.c_nationkey then 0 else 10000 end as d,
+  row_number() over (partition by a.c_custkey order by d, b.c_custkey) as place
+ from customer a join customer b on a.c_mktsegment = b.c_mktsegment and a.c_custkey <> b.c_custkey where a.c_mktsegment = 'BUILDING') where place <= 5""", 4)
+def _(spark, d):
+    rows = table(spark, d, "customer").where(c("c_mktsegment") == "BUILDING")
+    near = balance.nearest_in_class(
+        rows, "c_mktsegment", "c_custkey", ["c_acctbal"], ["c_nationkey"], F.lit(100.0), {"BUILDING": rows.count()}, cell_rows=256
+    )
+    return near.select(c("key").alias("c_custkey"), F.explode("near").alias("x")).select("c_custkey", c("x.key").alias("neighbour"), F.sqrt("x.d").alias("distance"))
+
+
 @query("b1_smote_nc", digits=4)
 def _(spark, d):
     return balance.smote_nc(_doc_features(spark, d), "quality", DOC_CONT, DOC_CAT, "doc_id").where("is_synthetic").drop("doc_id")
@@ -234,11 +254,15 @@ def _(spark, d):
 
 
 @query("m9_folds", f"""
-select condition, (('0x' || substr(md5(cast(doc_id as varchar)), 1, 15))::bigint % 3)::bigint as fold, count(*)::bigint as rows from {DOC_LABELS} group by 1, 2""")
+select condition, fold, count(*)::bigint as rows, min(doc_id)::bigint as first_id, max(doc_id)::bigint as last_id from (
+ select condition, doc_id, ((row_number() over (partition by condition order by ('0x' || substr(md5(cast(doc_id as varchar)), 1, 15))::bigint, doc_id) - 1) % 3)::bigint as fold
+ from {DOC_LABELS}) group by 1, 2""")
 def _(spark, d):
     draw = F.conv(F.substring(F.md5(c("doc_id").cast("string")), 1, 15), 16, 10).cast("bigint")
     rows = models.stratified_folds(doc_labels(spark, d).select("doc_id", "condition"), "condition", "doc_id", draw=draw)
-    return rows.groupBy("condition", "fold").agg(F.count(F.lit(1)).alias("rows"))
+    return rows.groupBy("condition", "fold").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")
+    )
 
 
 @query("m11_accuracy_recall", f"""
@@ -318,13 +342,18 @@ def _(spark, d):
 
 
 @query("m14_m15_rank_and_best", f"""
-select model, round(test_accuracy, 6) as test_accuracy, row_number() over (order by test_accuracy desc, cv_score desc, model)::bigint as place from {RULE_METRICS}""")
+select model, round(test_accuracy, 6) as test_accuracy, round(cv_score - test_accuracy, 6) as gap,
+ row_number() over (order by test_accuracy desc, cv_score desc, model)::bigint as place, row_number() over (order by cv_score desc, model) = 1 as is_best from {RULE_METRICS}""")
 def _(spark, d):
-    rows = _rule_metrics(spark, d)
-    ranked = ordering.running_total(
-        rows.withColumn("one", F.lit(1).cast("long")), {"place": "one"}, [F.desc("test_accuracy"), F.desc("cv_score"), F.asc("model")]
-    )
-    return ranked.select("model", "test_accuracy", "place")
+    # A row per rule, as searches would give them; the CV score stands in for the recall.
+    found = [
+        models.SearchResult(r["model"], None, r["cv_score"], {}, [], 0.0, 1, r["test_accuracy"], r["cv_score"])
+        for r in _rule_metrics(spark, d).orderBy("model").collect()
+    ]
+    best = models.best_model(found).name
+    place = F.row_number().over(Window.orderBy(F.desc("test_accuracy"), F.desc("test_recall"), F.desc("test_macro_recall"), "model"))
+    ranked = models.metrics_table(spark, found)
+    return ranked.select("model", "test_accuracy", "gap", place.alias("place"), (c("model") == best).alias("is_best"))
 
 
 INJECTED = """(select l_orderkey, case when l_linenumber = 1 then 'nan'::double when l_linenumber = 2 then 'infinity'::double
@@ -382,10 +411,6 @@ def _(spark, d):
     train, test = _split(spark, d)
     rows = models.with_class_weights(_vectorised(train), "label")
     candidates = models.title_models(len(DOC_FEATURES), rows.count())
-    # The same families with fewer trees and steps.
-    candidates["RandomForest"].getStages()[0].setNumTrees(20).setMaxDepth(5)
-    candidates["LogisticRegression"].getStages()[1].setMaxIter(50)
-    candidates["MLPClassifier"].getStages()[1].setMaxIter(20)
     found = models.train_candidates(rows, _vectorised(test), candidates)
     return found.metrics.select("model", (c("accuracy") >= 0).alias("scored"), (c("model") == found.name).alias("chosen"))
 
@@ -436,7 +461,7 @@ def _(spark, d):
 @query("m21_importances")
 def _(spark, d):
     rows = _vectorised(_doc_features(spark, d))
-    model = RandomForestClassifier(labelCol="label", numTrees=20, seed=42).fit(rows)
+    model = RandomForestClassifier(labelCol="label", numTrees=100, seed=42).fit(rows)
     return models.importances(spark, model, DOC_FEATURES)
 
 
@@ -450,7 +475,7 @@ def _(spark, d):
 @query("t14_hybrid_matrix")
 def _(spark, d):
     rows = doc_labels(spark, d).select("doc_id", c("text").alias("title"))
-    model = Pipeline(stages=hybrid_stages("title", 100)).fit(rows)
+    model = Pipeline(stages=hybrid_stages("title", 500)).fit(rows)
     values = vector_to_array("features")
     return model.transform(rows).select(
         "doc_id", F.size(values).alias("width"), F.aggregate(values, F.lit(0.0), lambda s, v: s + v).alias("total")

@@ -34,7 +34,7 @@ def remap(col: Column, mapping: Mapping) -> Column:
 
 
 def fit_label_codes(df: DataFrame, column: str) -> dict[str, int]:
-    """Codes 0, 1, ... of the distinct values in sorted order; more than 1000 classes are refused."""
+    """Codes 0, 1, ... of a classifier's labels in sorted order; more than 1000 are refused (``code_table`` has no bound)."""
     values = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(1001).collect()]
     if len(values) > 1000:
         raise ValueError(f"{column} has more than 1000 distinct values")

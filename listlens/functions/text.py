@@ -31,7 +31,8 @@ def all_matches(text: Column, pattern: str, ignore_case: bool = False) -> Column
 
 
 def clean(text: Column) -> Column:
-    return F.trim(F.coalesce(text, F.lit("")))
+    """The text without white space at its ends, line breaks and tabs included."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)^\s+|\s+$", "")
 
 
 def normalise(text: Column) -> Column:
@@ -41,7 +42,7 @@ def normalise(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.when(F.trim(text) == "", 0).otherwise(F.size(F.split(F.trim(text), r"\s+")))
+    return F.regexp_count(text, F.lit(r"(?U)\S+"))
 
 
 def tokens(text: Column, min_length: int = 3) -> Column:

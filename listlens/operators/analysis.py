@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import PCA, PCAModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,14 +23,42 @@ def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") ->
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson r for every ordered pair: ``i, j, feature1, feature2, correlation`` (NaN for constants).
 
-    The pair sums are built on the executors; only the column-by-column matrix reaches the driver.
+    Each pair is correlated over the rows that have both values. Tasks build the sums of all pairs as
+    matrix products, centred at the columns' means, and one keyed aggregation adds the tasks up.
     """
-    matrix = Correlation.corr(assemble(df.select(*columns), columns), "features").head()[0].toArray()
-    rows = [
-        (i, j, a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)
-    ]
-    return df.sparkSession.createDataFrame(
-        rows, "i int, j int, feature1 string, feature2 string, correlation double"
+    columns = list(columns)
+    values = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    ends = values.agg(*[f(f"c{i}") for f in (F.avg, F.min, F.max) for i in range(len(columns))]).head()
+    n = len(columns)
+    centre = [0.0 if v is None else v for v in ends[:n]]
+    constant = [a == b for a, b in zip(ends[n : 2 * n], ends[2 * n :])]
+
+    def sums(batches):
+        import numpy as np
+        import pandas as pd
+
+        total = np.zeros((6, n, n))
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=float) - np.array(centre)
+            there = ~np.isnan(x)
+            x[~there] = 0
+            has = there.astype(float)
+            total += np.stack([has.T @ has, x.T @ has, has.T @ x, (x * x).T @ has, has.T @ (x * x), x.T @ x])
+        i, j = np.divmod(np.arange(n * n), n)
+        yield pd.DataFrame({"i": i, "j": j} | {k: m.ravel() for k, m in zip(("n", "x", "y", "xx", "yy", "xy"), total)})
+
+    total = values.mapInPandas(sums, "i int, j int, n double, x double, y double, xx double, yy double, xy double").groupBy("i", "j").agg(
+        *[F.sum(k).alias(k) for k in ("n", "x", "y", "xx", "yy", "xy")]
+    )
+    spread = F.sqrt(F.greatest(F.col("n") * F.col("xx") - F.col("x") * F.col("x"), F.lit(0.0))) * F.sqrt(
+        F.greatest(F.col("n") * F.col("yy") - F.col("y") * F.col("y"), F.lit(0.0))
+    )
+    flat = F.array(*[F.lit(k) for k in constant])
+    r = F.try_divide(F.col("n") * F.col("xy") - F.col("x") * F.col("y"), spread)
+    names = F.array(*[F.lit(c) for c in columns])
+    return total.select(
+        "i", "j", F.get(names, F.col("i")).alias("feature1"), F.get(names, F.col("j")).alias("feature2"),
+        F.when(F.get(flat, F.col("i")) | F.get(flat, F.col("j")), F.lit(float("nan"))).otherwise(F.coalesce(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)), F.lit(float("nan")))).alias("correlation"),
     )
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listlens.operators.ordering import top_k_per_group
+from listlens.operators.ordering import running_total, top_k_per_group
 from listlens.session import with_totals
 
 
@@ -36,9 +36,14 @@ def shares(df: DataFrame, column: str) -> DataFrame:
 
 
 def cross_counts(df: DataFrame, rows: str, columns: str, values: Sequence | None = None) -> DataFrame:
-    """Rows per (rows, columns) pair, one output column per value, absent pairs 0."""
-    known = df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull()).groupBy(rows)
-    out = (known.pivot(columns, list(values)) if values is not None else known.pivot(columns)).count()
+    """Rows per (rows, columns) pair: one output column per given value, absent pairs 0.
+
+    Without ``values`` the pairs come as a long table (rows, columns, count), however many values there are.
+    """
+    known = df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull())
+    if values is None:
+        return known.groupBy(rows, columns).count()
+    out = known.groupBy(rows).pivot(columns, list(values)).count()
     return out.na.fill(0, [c for c in out.columns if c != rows])
 
 
@@ -71,6 +76,12 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def code_table(df: DataFrame, column: str, code: str = "code") -> DataFrame:
+    """(column, code): codes 0, 1, ... of the distinct non-null values in sorted order, for any number of values."""
+    values = df.select(column).where(F.col(column).isNotNull()).distinct().withColumn("__one", F.lit(1).cast("long"))
+    return running_total(values, {code: "__one"}, [F.col(column)]).select(column, (F.col(code) - 1).alias(code))
+
+
 def text_stats(df: DataFrame, text: str, cls: str) -> DataFrame:
     """Rows, mean/median/min/max length and mean/median words per class.
 
@@ -78,7 +89,7 @@ def text_stats(df: DataFrame, text: str, cls: str) -> DataFrame:
     longest text, so the state stays small however many rows there are.
     """
     t = F.coalesce(F.col(text), F.lit(""))
-    words = F.when(F.trim(t) == "", 0).otherwise(F.size(F.split(F.trim(t), r"\s+")))
+    words = F.regexp_count(t, F.lit(r"(?U)\S+"))
     return (
         df.select(F.col(cls).alias("class"), F.length(t).alias("len"), words.alias("words"))
         .groupBy("class")

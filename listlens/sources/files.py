@@ -44,9 +44,12 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType = LISTI
     return spark.read.schema(schema).json(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with header and quoted line breaks; the schema is inferred only when none is given."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, multi_line: bool = True) -> DataFrame:
+    """CSV with header; the schema is inferred only when none is given.
+
+    ``multi_line`` reads line breaks inside quotes, at the price of one task per file; without it files are split.
+    """
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     return (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(path)
 
 
@@ -106,20 +109,26 @@ def require_rows(df: DataFrame) -> DataFrame:
     return df
 
 
-def holdout_last(df: DataFrame, key: str, n: int = 10_000) -> tuple[DataFrame, DataFrame]:
+def holdout_last(df: DataFrame, key: str, n: int = 10_000, ties: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Train = all but the last ``n`` rows in key order, test = these ``n``.
 
     For a test part that fits a task only the ``n`` largest keys meet in one place; a larger one is
-    counted off range by range. Everything else is a filter on the scan. Keys must be unique.
+    counted off range by range. Everything else is a filter on the scan. Rows without a key are train
+    rows. ``ties`` name further columns that order rows of equal key; rows equal in all of them stay
+    together, so give enough to tell rows apart.
     """
-    keys = df.select(key)
+    if n < 0:
+        raise ValueError("n must not be negative")
+    place = F.struct(key, *ties) if ties else F.col(key)
+    keys = df.where(F.col(key).isNotNull()).select(place.alias("__key"))
     if n <= _TOP_KEYS:
-        last = keys.orderBy(F.desc(key)).limit(n)
+        last = keys.orderBy(F.desc("__key")).limit(n)
     else:
-        ranked = running_total(keys.withColumn("__one", F.lit(1).cast("long")), {"__place": "__one"}, [F.desc(key)])
+        ranked = running_total(keys.withColumn("__one", F.lit(1).cast("long")), {"__place": "__one"}, [F.desc("__key")])
         last = ranked.where(F.col("__place") <= n)
-    cut = last.agg(F.min(key)).scalar()
-    return df.where(F.col(key) < cut), df.where(F.col(key) >= cut)
+    cut = last.agg(F.min("__key")).scalar()
+    late = place >= cut
+    return df.where(F.col(key).isNull() | F.coalesce(~late, F.lit(True))), df.where(F.col(key).isNotNull() & late)
 
 
 def hide_target(df: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:

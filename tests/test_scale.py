@@ -130,9 +130,10 @@ def distance(p, q, penalty=0.7):
     return (p[2] - q[2]) ** 2 + (p[3] - q[3]) ** 2 + penalty**2 * ((p[4] != q[4]) + (p[5] != q[5]))
 
 
-def test_neighbours_match_brute_force(spark):
+@pytest.mark.parametrize("cell_rows", [4096, 40])
+def test_neighbours_match_brute_force(spark, cell_rows):
     df, rows = mixed(spark)
-    hits, small = nearest(spark, df, rows)
+    hits, small = nearest(spark, df, rows, cell_rows=cell_rows)
     got = {r["key"]: [(round(x["d"], 9), x["key"]) for x in r["near"]] for r in hits.collect()}
     assert len(got) == len(small)
     for p in small:
@@ -140,9 +141,20 @@ def test_neighbours_match_brute_force(spark):
         assert got[p[0]] == want
 
 
+def test_a_class_beyond_one_cell_is_exact(spark):
+    r = np.random.default_rng(5)
+    x = r.normal(size=(5000, 3)).round(3)
+    df = spark.createDataFrame([(i, 1, *map(float, v)) for i, v in enumerate(x)], "id bigint, y int, a double, b double, c double")
+    hits = balance.nearest_in_class(df, "y", "id", ["a", "b", "c"], [], F.lit(1.0), {1: 5000})
+    got = {h["key"]: round(h["near"][4]["d"], 9) for h in hits.select("key", "near").collect()}
+    for i in range(0, 5000, 50):
+        assert got[i] == round(float(np.sort(((x - x[i]) ** 2).sum(1))[5]), 9)
+    assert len(got) == 5000
+
+
 def test_neighbours_in_cells_are_near_and_none_is_lost(spark):
     df, rows = mixed(spark, minority=300, copies=100)
-    hits, small = nearest(spark, df, rows, cell_rows=64)
+    hits, small = nearest(spark, df, rows, cell_rows=64, exact=False)
     got = {r["key"]: [x["d"] for x in r["near"]] for r in hits.collect()}
     assert len(got) == len(small) and all(len(v) == 5 for v in got.values())
     best = {p[0]: sorted(distance(p, q) for q in small if q[0] != p[0])[4] for p in small}

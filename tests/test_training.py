@@ -220,7 +220,7 @@ def test_grid_search_balances_only_training_parts(spark):
         "RandomForest": (rf, ParamGridBuilder().addGrid(rf.maxDepth, [2]).build()),
     }
     found = select_model(train, test, ["a", "b", "d"], "y", "id", grids=spec, balance=balance)
-    assert max(sizes) == 150 and min(sizes) < 150 and len(sizes) == 2 * 3 + 1 + 3 + 1
+    assert max(sizes) == 150 and min(sizes) < 150 and len(sizes) == 3 + 1 + 3 + 1
     assert found.metrics.count() == 2 and found.best.cv_score > 0.9
     assert [r.fits for r in found.results] == [6, 3]
     assert models.top_configs(spark, found.results[0]).count() == 2

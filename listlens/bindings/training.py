@@ -121,9 +121,11 @@ def _(spark, d):
 
 
 def _vectors(spark, d):
-    """Embeddings as 64 plain columns."""
+    """Embeddings as plain columns; vectors of another length are an error, never cut."""
     rows = table(spark, d, "embeddings")
-    return rows.select("vec_id", "label", *[c("embedding")[i].cast("double").alias(f"v{i}") for i in range(64)])
+    if (odd := rows.where(F.size("embedding") != len(VECTOR)).count()) > 0:
+        raise ValueError(f"{odd} embeddings do not have {len(VECTOR)} values")
+    return rows.select("vec_id", "label", *[c("embedding")[i].cast("double").alias(v) for i, v in enumerate(VECTOR)])
 
 
 VECTOR = [f"v{i}" for i in range(64)]

@@ -54,21 +54,27 @@ def word_blocks(text: bytes, block: int = BLOCK) -> Iterator[list[bytes]]:
         at = end
 
 
-def fingerprint(text: str | None, size: int = SHINGLE) -> int:
-    ones, total, tail = np.zeros(64, dtype=np.int64), 0, []
+def shingle_hashes(text: str | None, size: int) -> Iterator[np.ndarray]:
+    """64-bit hashes of the runs of ``size`` words, in parts; a shorter text is one run, one without words none."""
+    any_yet, tail = False, []
     for words in word_blocks((text or "").encode("utf-8", "surrogatepass").lower()):
         words = tail + words
         if len(words) >= size:
             line = b" ".join(words)
             ends = np.cumsum([len(w) + 1 for w in words]) - 1
             starts = np.concatenate(([0], ends[: len(words) - size] + 1)).tolist()
-            h = [xxhash.xxh64_intdigest(line[a:b], 42) for a, b in zip(starts, ends[size - 1 :].tolist(), strict=True)]
-            ones += np.unpackbits(np.array(h, dtype=">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-            total += len(h)
+            any_yet = True
+            yield np.array([xxhash.xxh64_intdigest(line[a:b], 42) for a, b in zip(starts, ends[size - 1 :].tolist(), strict=True)], dtype=np.uint64)
         tail = words[-(size - 1) :] if size > 1 else []
-    if not total and tail:
-        ones = np.unpackbits(np.array([xxhash.xxh64_intdigest(b" ".join(tail), 42)], dtype=">u8").view(np.uint8)).astype(np.int64)
-        total = 1
+    if not any_yet and tail:
+        yield np.array([xxhash.xxh64_intdigest(b" ".join(tail), 42)], dtype=np.uint64)
+
+
+def fingerprint(text: str | None, size: int = SHINGLE) -> int:
+    ones, total = np.zeros(64, dtype=np.int64), 0
+    for h in shingle_hashes(text, size):
+        ones += np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        total += len(h)
     return int.from_bytes(np.packbits(ones * 2 > total).tobytes(), "big")
 
 

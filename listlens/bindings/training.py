@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
@@ -13,6 +13,7 @@ from listlens import fixed_values as fv
 from listlens.bindings.registry import query
 from listlens.bindings.tables import DOC_LABELS, DOC_OUTER, LISTINGS, TITLES, doc_labels, doc_outer, listings, table, title_rows
 from listlens.functions import encode
+from listlens.functions.text import TITLE_FEATURES
 from listlens.operators import analysis as an
 from listlens.operators import balance, counts, evaluate, models, ordering, sets
 from listlens.plans.feature_selection import analyse_features
@@ -455,7 +456,7 @@ def _(spark, d):
 @query("m18_score_titles")
 def _(spark, d):
     rows = doc_labels(spark, d).select(c("doc_id").alias("id"), c("text").alias("title"), "condition")
-    found = train_title_model(rows, names=["LogisticRegression"], max_features=100)
+    found = train_title_model(rows)
     scored = models.score(rows.select("id", "title"), found.model)
     return scored.select("id", "categoria_predicha", "probabilidad_new", "probabilidad_used")
 
@@ -470,7 +471,7 @@ def _(spark, d):
 @query("m23_train_title_model")
 def _(spark, d):
     rows = doc_labels(spark, d).select(c("doc_id").alias("id"), c("text").alias("title"), "condition")
-    found = train_title_model(rows, names=["LogisticRegression"], max_features=100)
+    found = train_title_model(rows)
     return found.metrics.select("model", "accuracy", "recall", "auc")
 
 
@@ -491,7 +492,11 @@ def _(spark, d):
     folded = models.stratified_folds(labelled, "condition", "doc_id")
 
     def fit(part):
-        return Pipeline(stages=[*hybrid_stages("title", 100), *models._scaled(LogisticRegression(labelCol="label", maxIter=50))]).fit(part)
+        text = Pipeline(stages=hybrid_stages("title")).fit(part)
+        width = len(text.stages[0].getOrDefault("vocabulary")) + len(TITLE_FEATURES)
+        linear = models.title_models(width, part.count())["LogisticRegression"]
+        rows = text.transform(models.with_class_weights(part, "label"))
+        return PipelineModel(stages=[*text.stages, *linear.fit(rows).stages])
 
     scored = models.out_of_fold_scores(folded, fit, "fold", 3)
     return scored.select("doc_id", "probabilidad_new", "probabilidad_used")

@@ -388,10 +388,10 @@ def op11(chats: DataFrame) -> DataFrame:
 
 
 SQL_OP11 = rf"""
-WITH RECURSIVE crc AS ({shared.sql_crc_table}), kinds AS (
+WITH RECURSIVE kinds AS (
   SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
     {shared.sql_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind
-  FROM conversations, crc
+  FROM conversations
 ), damaged AS (
   SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
     CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(0, CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy

@@ -65,13 +65,21 @@ def keep_rows(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col
     return keyed.join(keys, "__key", "left_semi").dropDuplicates(["__key"]).select(*[keyed[c] for c in docs.columns])
 
 
-def sql_crc32(text: str) -> str:
-    """SQL for the unsigned CRC-32 of the UTF-8 of ``text``, whose characters lie below U+0100; ``sql_crc_table`` must be joined as ``crc``."""
-    codes = f"flatten(list_transform(string_split({text}, ''), x -> CASE WHEN x = '' THEN [] WHEN unicode(x) < 128 THEN [unicode(x)::UINTEGER] ELSE [(192 | (unicode(x) >> 6))::UINTEGER, (128 | (unicode(x) & 63))::UINTEGER] END))"
-    return f"xor(list_reduce(list_prepend(4294967295::UINTEGER, {codes}), lambda c, b: xor(crc.t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295::UINTEGER)".replace("x -> CASE", "lambda x: CASE")
+def _crc_steps() -> str:
+    """The CRC-32 of the 16 half bytes, as a list in SQL."""
+    steps = []
+    for c in range(16):
+        for _ in range(4):
+            c = (c >> 1) ^ 0xEDB88320 if c & 1 else c >> 1
+        steps.append(f"{c}::UINTEGER")
+    return f"[{', '.join(steps)}]"
 
 
-sql_crc_table = (
-    "SELECT list_transform(range(0, 256), lambda i: list_reduce(list_prepend(i::UINTEGER, list_transform(range(0, 8), lambda k: k::UINTEGER)), "
-    "lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384::UINTEGER, c >> 1) ELSE c >> 1 END)) AS t"
-)
+def sql_crc32(text: str) -> str:
+    """SQL for the unsigned CRC-32 of the UTF-8 of ``text``, whose characters lie below U+0100; half a byte a step, the low one first."""
+    code = "unicode(x)::UINTEGER"
+    halves = (
+        f"flatten(list_transform(string_split({text}, ''), lambda x: CASE WHEN x = '' THEN [] WHEN unicode(x) < 128 THEN [{code} & 15, {code} >> 4] "
+        f"ELSE [{code} >> 6, 12::UINTEGER, {code} & 15, 8 | (({code} >> 4) & 3)] END))"
+    )
+    return f"xor(list_reduce(list_prepend(4294967295::UINTEGER, {halves}), lambda c, b: xor({_crc_steps()}[(xor(c, b) & 15) + 1], c >> 4)), 4294967295::UINTEGER)"

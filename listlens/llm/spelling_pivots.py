@@ -243,17 +243,18 @@ def op12(docs: DataFrame) -> DataFrame:
 
 
 SQL_OP12 = rf"""
-WITH RECURSIVE crc AS ({shared.sql_crc_table}), docs AS (
+WITH RECURSIVE docs AS (
   SELECT row_number() OVER () AS r, coalesce(CAST(doc_id AS VARCHAR), '') AS id, text FROM documents
 ), runs AS (
   SELECT r, id, run, count(*) AS n FROM (
     SELECT r, id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM docs)
   GROUP BY ALL
 ), hashed AS (
-  SELECT run, n, {shared.sql_crc32("id || ':' || run")} AS h FROM runs, crc WHERE length(run) >= {LEAST_LENGTH}
+  SELECT run, n, {shared.sql_crc32("id || ':' || run")} AS h FROM runs WHERE length(run) >= {LEAST_LENGTH}
+), spelled AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, n FROM hashed
 ), words AS (
-  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
-  FROM hashed GROUP BY ALL HAVING length(word) >= {LEAST_LENGTH} AND sum(n) >= {LEAST_COUNT}
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelled WHERE length(word) >= {LEAST_LENGTH} GROUP BY word HAVING sum(n) >= {LEAST_COUNT}
 ), holes AS (
   SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)
 ), near AS (
@@ -262,7 +263,7 @@ WITH RECURSIVE crc AS ({shared.sql_crc_table}), docs AS (
   UNION SELECT b.word, b.n, a.word, a.n FROM holes a JOIN words b ON a.rest = b.word
 ), best AS (
   SELECT a AS word, count(*) AS n_near, first(b ORDER BY b_n DESC, encode(b)) AS form, max(b_n) AS form_n FROM near GROUP BY a
-), formed AS (
+), formed AS MATERIALIZED (
   SELECT word, CASE WHEN form_n >= 2 * n THEN form END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
   FROM words LEFT JOIN best USING (word)
 ), chain AS (

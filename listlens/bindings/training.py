@@ -204,11 +204,11 @@ select c_custkey, neighbour, round(sqrt(d), 4) as distance from (
  select a.c_custkey, b.c_custkey as neighbour,
   (a.c_acctbal - b.c_acctbal) ** 2 + case when a.c_nationkey = b.c_nationkey then 0 else 10000 end as d,
   row_number() over (partition by a.c_custkey order by d, b.c_custkey) as place
- from customer a join customer b on a.c_mktsegment = b.c_mktsegment and a.c_custkey <> b.c_custkey where a.c_mktsegment = 'BUILDING') where place <= 5""", 4)
+ from customer a join customer b on a.c_mktsegment = b.c_mktsegment and a.c_custkey <> b.c_custkey) where place <= 5""", 4)
 def _(spark, d):
-    rows = table(spark, d, "customer").where(c("c_mktsegment") == "BUILDING")
+    rows = table(spark, d, "customer")
     near = balance.nearest_in_class(
-        rows, "c_mktsegment", "c_custkey", ["c_acctbal"], ["c_nationkey"], F.lit(100.0), {"BUILDING": rows.count()}, cell_rows=256
+        rows, "c_mktsegment", "c_custkey", ["c_acctbal"], ["c_nationkey"], F.lit(100.0), balance.class_sizes(rows, "c_mktsegment"), cell_rows=128
     )
     return near.select(c("key").alias("c_custkey"), F.explode("near").alias("x")).select("c_custkey", c("x.key").alias("neighbour"), F.sqrt("x.d").alias("distance"))
 

@@ -152,6 +152,41 @@ def test_a_class_beyond_one_cell_is_exact(spark):
     assert len(got) == 5000
 
 
+def clustered(n=9000, copies=2000, seed=3):
+    """Rows of two classes around 30 centres; in class 1 many copies of one row."""
+    r = np.random.default_rng(seed)
+    centres = r.normal(scale=20, size=(30, 3))
+    x = ((centres[r.integers(30, size=n)] + r.normal(size=(n, 3))) * 16).round() / 16  # sums of squares are exact, so ties are
+    x[:copies] = x[0]
+    return [(i, 1 if i < copies or i % 3 else 2, *map(float, v), str(int(v[0]) % 3) if i >= copies else "1") for i, v in enumerate(x)]
+
+
+def test_clustered_rows_are_exact_and_visit_few_cells(spark):
+    rows = clustered()
+    df = spark.createDataFrame(rows, "id bigint, y int, a double, b double, c double, s string").repartition(7)
+    sizes = {y: sum(r[1] == y for r in rows) for y in (1, 2)}
+    args = (df, "y", "id", ["a", "b", "c"], ["s"], F.lit(0.5), sizes)
+    got = {h["key"]: [(round(x["d"], 9), x["key"]) for x in h["near"]] for h in balance.nearest_in_class(*args).select("key", "near").collect()}
+    assert len(got) == len(rows)
+    for y in (1, 2):
+        some = [r for r in rows if r[1] == y]
+        x, s = np.array([r[2:5] for r in some]), np.array([r[5] for r in some])
+        ids = np.array([r[0] for r in some])
+        for i in range(0, len(some), 7):
+            d = (((x - x[i]) ** 2).sum(1) + 0.25 * (s != s[i])).round(9)
+            d[i] = np.inf
+            assert got[ids[i]] == [(float(d[j]), int(ids[j])) for j in np.lexsort((ids, d))[:5]]
+    _, search = balance.cell_search(*args, cell_rows=64)
+    cells = {r["y"]: r["count"] for r in search.boxes[0].groupBy("y").count().collect()}
+    every = sum(n * n for n in cells.values())
+    assert len(search.boxes) == 3
+    assert 0 < search.visitors.select("y", "a", "b").distinct().count() < search.pairs.count() < every / 2.5
+    # Points are sent to a tenth of the cells at most.
+    assert search.visitors.count() < 0.1 * sum(cells[r["y"]] * r["count"] for r in search.points.groupBy("y").count().collect())
+    # Copies of one row are one point: they visit nothing of their own.
+    assert search.points.where("y = 1").count() < sizes[1] - 1900
+
+
 def test_neighbours_in_cells_are_near_and_none_is_lost(spark):
     df, rows = mixed(spark, minority=300, copies=100)
     hits, small = nearest(spark, df, rows, cell_rows=64, exact=False)

@@ -1,14 +1,14 @@
-"""Exact quantiles, describe and histogram over value counts."""
+"""Exact quantiles, describe and histogram by selection."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listlens.operators.ordering import running_total
-from listlens.session import with_totals
+from listlens.operators import selection
+from listlens.session import null_safe_join, with_totals
 
 
 def _value_table(df: DataFrame, column: str, by: tuple[str, ...]) -> DataFrame:
@@ -21,57 +21,34 @@ def _value_table(df: DataFrame, column: str, by: tuple[str, ...]) -> DataFrame:
     )
 
 
-def _ranked(df: DataFrame, column: str, by: tuple[str, ...]) -> DataFrame:
-    """Distinct values with their count, ``upto`` (rows at or below them) and ``rows`` of the group."""
-    return running_total(_value_table(df, column, by), {"upto": "n"}, [F.col("value")], by, {"rows": "n"})
-
-
-def _summary(ranked: DataFrame, probs: Sequence[float], by: tuple[str, ...], extra: Sequence[Column] = ()) -> DataFrame:
-    """Quantiles ``q0, q1, ...`` and further aggregates of ranked values, one row per group."""
-    aggs = []
-    for i, p in enumerate(probs):
-        at = F.lit(float(p)) * (F.col("rows") - 1)
-        aggs += [
-            F.min(F.when(F.col("upto") > F.floor(at), F.col("value"))).alias(f"__lo{i}"),
-            F.min(F.when(F.col("upto") > F.ceil(at), F.col("value"))).alias(f"__hi{i}"),
-            F.max(at - F.floor(at)).alias(f"__w{i}"),
-        ]
-    out = ranked.groupBy(*by).agg(*aggs, *extra)
-    for i in range(len(probs)):
-        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
-        out = out.withColumn(f"q{i}", lo + (hi - lo) * F.col(f"__w{i}"))
-    return out.drop(*[f"__{k}{i}" for k in ("lo", "hi", "w") for i in range(len(probs))])
-
-
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Linear-interpolated quantiles as columns ``q0, q1, ...``, one row per group.
 
-    Equal values are merged first and ranked range by range; the built-in exact ``percentile``
-    would hold every distinct value of a group in one task.
+    Found by radix selection; the built-in exact ``percentile`` would hold every distinct value of a group in one task.
     """
-    by = tuple(by)
-    return _summary(_ranked(df, column, by), probs, by)
+    return selection.quantiles(df, column, probs, by)
 
 
 def describe_numeric(df: DataFrame, column: str, digits: int = 2, by: Sequence[str] = ()) -> DataFrame:
     """mean, mode (lowest on ties), min, max, q1, q2, q3, rounded."""
     by = tuple(by)
-    extra = [
+    sums = _value_table(df, column, by).groupBy(*by).agg(
         (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
         F.max_by("value", F.struct(F.col("n"), -F.col("value"))).alias("mode"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-    ]
-    out = _summary(_ranked(df, column, by), [0.25, 0.5, 0.75], by, extra)
+    )
+    parts = selection.quantiles(df, column, [0.25, 0.5, 0.75], by)
+    out = null_safe_join(sums, parts, by) if by else with_totals(sums, parts)
     names = {"mean": "mean", "mode": "mode", "min": "min", "max": "max", "q0": "q1", "q1": "q2", "q2": "q3"}
     return out.select(*by, *[F.round(c, digits).alias(n) for c, n in names.items()])
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50, upper_quantile: float = 0.99) -> DataFrame:
     """Equal-width bins (last one closed) of the values not above the quantile: bin, lower, upper, count."""
-    ranked = _ranked(df, column, ())
-    limit = _summary(ranked, [upper_quantile], ()).scalar()
-    kept = ranked.select("value", "n").where(F.col("value") <= limit)
+    limit = selection.quantiles(df, column, [upper_quantile]).scalar()
+    value = F.col(column).cast("double")
+    kept = df.select(value.alias("value")).where(F.col("value").isNotNull() & ~F.isnan("value") & (F.col("value") <= limit))
     edges = kept.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     width = (F.col("hi") - F.col("lo")) / bins
     place = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
@@ -80,7 +57,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50, upper_quantile: float
     return (
         with_totals(kept, edges)
         .groupBy(place.cast("int").alias("bin"))
-        .agg(F.sum("n").alias("count"), F.max("lo").alias("lo"), F.max("hi").alias("hi"))
+        .agg(F.count(F.lit(1)).alias("count"), F.max("lo").alias("lo"), F.max("hi").alias("hi"))
         .select(
             "bin",
             (F.col("lo") + F.col("bin") * width).alias("lower"),

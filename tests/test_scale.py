@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from listlens.operators import balance, distribution, evaluate, ordering
+from listlens.operators import balance, distribution, evaluate, ordering, selection
 from listlens.sources import files
 
 c = F.col
@@ -248,3 +248,41 @@ def test_top_k_limits_groups_before_the_shuffle(spark):
     df, _ = skewed(spark)
     plan = ordering.top_k_per_group(df, ["k"], [F.desc("v"), F.asc("id")], 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_selection_is_exact_on_hard_values(spark, monkeypatch):
+    monkeypatch.setattr(selection, "FEW_ROWS", 40)
+    r = np.random.default_rng(11)
+    groups = {
+        "spread": r.normal(size=3000), "outlier": np.append(r.random(2000), [1e300, -1e300]), "copies": np.repeat(r.normal(size=30), 100),
+        "one": np.array([4.0]), "same": np.full(900, -0.25), "powers": 10.0 ** r.uniform(-300, 300, 2000), None: np.arange(500.0),
+    }
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("spread", None), ("spread", float("nan")), ("void", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    probs = [0.0, 0.013, 0.25, 0.5, 0.99, 1.0]
+    got = {x["g"]: list(x)[1:] for x in selection.quantiles(df, "v", probs, ["g"]).collect()}
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        assert got[g] == pytest.approx(list(np.quantile(vs, probs)), rel=1e-12)
+    ends = spark.createDataFrame([(x,) for x in [float("inf")] * 60 + [float("-inf")] * 60 + [float(i) for i in range(100)]], "v double")
+    assert list(selection.quantiles(ends, "v", [0.1, 0.5, 0.9]).head()) == [float("-inf"), 49.5, float("inf")]
+    assert list(selection.quantiles(ends.limit(0), "v", [0.5]).head()) == [None]
+
+
+def test_order_statistics_store_and_sort_nothing(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("stored")
+
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", refuse)
+    monkeypatch.setattr(selection, "FEW_ROWS", 100)
+    df = spark.range(20_000).select((c("id") * 7919 % 20_011).alias("v"), (c("id") % 3 == 0).cast("int").alias("y"))
+    assert distribution.describe_numeric(df, "v").head()["q2"] == round(float(np.median([i * 7919 % 20_011 for i in range(20_000)])), 2)
+    assert distribution.histogram(df, "v", 10).agg(F.sum("count")).head()[0] == 19_800
+    plan = selection.quantiles(df, "v", [0.5])._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    y, v = (np.array([r[k] for r in df.collect()]) for k in ("y", "v"))
+    pos, neg = v[y == 1], np.sort(v[y == 0])
+    assert evaluate.auc(df, "y", "v").head()[0] == pytest.approx(np.searchsorted(neg, pos).sum() / len(pos) / len(neg), rel=1e-12)
+    many = selection.with_range(df.withColumn("v", c("v").cast("double")), "v", "r", 1000)
+    sizes = [x["count"] for x in many.groupBy("r").count().collect()]
+    assert len(sizes) > 15 and max(sizes) < 2500

@@ -208,7 +208,7 @@ select c_custkey, neighbour, round(sqrt(d), 4) as distance from (
 def _(spark, d):
     rows = table(spark, d, "customer")
     near = balance.nearest_in_class(
-        rows, "c_mktsegment", "c_custkey", ["c_acctbal"], ["c_nationkey"], F.lit(100.0), balance.class_sizes(rows, "c_mktsegment"), cell_rows=128
+        rows, "c_mktsegment", "c_custkey", ["c_acctbal"], ["c_nationkey"], F.lit(100.0), balance.class_sizes(rows, "c_mktsegment")
     )
     return near.select(c("key").alias("c_custkey"), F.explode("near").alias("x")).select("c_custkey", c("x.key").alias("neighbour"), F.sqrt("x.d").alias("distance"))
 

@@ -283,6 +283,19 @@ def test_order_statistics_store_and_sort_nothing(spark, monkeypatch):
     y, v = (np.array([r[k] for r in df.collect()]) for k in ("y", "v"))
     pos, neg = v[y == 1], np.sort(v[y == 0])
     assert evaluate.auc(df, "y", "v").head()[0] == pytest.approx(np.searchsorted(neg, pos).sum() / len(pos) / len(neg), rel=1e-12)
-    many = selection.with_range(df.withColumn("v", c("v").cast("double")), "v", "r", 1000)
+    numbers = df.select(c("v").cast("double").alias("v"))
+    many = selection.with_range(numbers, "v", "r", selection.range_bounds(numbers, "v", 1000))
     sizes = [x["count"] for x in many.groupBy("r").count().collect()]
     assert len(sizes) > 15 and max(sizes) < 2500
+    odd = spark.createDataFrame([(None,), (float("nan"),), (1.0,), (5.0,)], "v double")
+    assert [x["r"] for x in selection.with_range(odd, "v", "r", [2.0]).collect()] == [-1.0, float("inf"), 0.0, 1.0]
+
+
+def test_auc_over_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(evaluate, "range_bounds", lambda df, column: selection.range_bounds(df, column, 300))
+    r = np.random.default_rng(2)
+    y, v = r.integers(2, size=4000), r.integers(700, size=4000).astype(float)
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, v)], "y int, v double")
+    pos, neg = v[y == 1], v[y == 0]
+    want = ((pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()) / len(pos) / len(neg)
+    assert evaluate.auc(df, "y", "v").head()[0] == pytest.approx(want, rel=1e-12)

@@ -157,9 +157,9 @@ def op10(docs: DataFrame) -> DataFrame:
 
 def stage(docs: DataFrame) -> DataFrame:
     """The documents as often as they were chosen, all columns."""
-    chosen = mix(docs, STAGE_SHARE).where("copies > 0").groupBy(F.col("key").alias("__key")).agg(F.max("copies").alias("__copies"))
-    keyed = docs.withColumn("__key", shared.row_key(docs["doc_id"], docs["text"]))
-    return keyed.join(chosen, "__key").withColumn("__again", F.explode(F.expr("sequence(1, __copies)"))).select(*[keyed[c] for c in docs.columns])
+    chosen = mix(docs, STAGE_SHARE).where("copies > 0").groupBy("key").agg(F.max("copies").alias("copies"))
+    keyed = docs.select(shared.row_key(docs["doc_id"], docs["text"]).alias("key"), F.struct("*").alias("row"))
+    return keyed.join(chosen, "key").select("row", F.explode(F.expr("sequence(1, copies)"))).select("row.*")
 
 
 SQL_OP10 = r"""

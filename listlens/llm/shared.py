@@ -59,10 +59,11 @@ def row_key(id_col: Column, text: Column) -> Column:
 def keep_rows(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose ``row_key`` is in ``keys`` (one column ``__key``), repeated rows once.
 
-    The join and the removal of repeats use one shuffle by a key that is all but unique.
+    The join and the removal of repeats use one shuffle by a key that is all but unique. The rows travel as one struct,
+    so their columns may have any names.
     """
-    keyed = docs.withColumn("__key", row_key(docs[id_col], docs[text_col]))
-    return keyed.join(keys, "__key", "left_semi").dropDuplicates(["__key"]).select(*[keyed[c] for c in docs.columns])
+    keyed = docs.select(row_key(docs[id_col], docs[text_col]).alias("__key"), F.struct("*").alias("row"))
+    return keyed.join(keys, "__key", "left_semi").dropDuplicates(["__key"]).select("row.*")
 
 
 def _crc_steps() -> str:

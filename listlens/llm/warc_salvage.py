@@ -255,7 +255,12 @@ def files_below(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def with_revisits(pages: DataFrame, key: str, payload: str, least_bytes: int = 0) -> DataFrame:
-    """Adds ``revisit`` and ``refers_to``: among equal payloads the largest key is the one referred to."""
+    """Adds ``revisit`` and ``refers_to``: among equal payloads the largest key is the one referred to.
+
+    A table that has columns of these names already is refused.
+    """
+    if {"revisit", "refers_to"} & set(pages.columns):
+        raise ValueError("the table already has a column revisit or refers_to")
     body = F.coalesce(pages[payload].cast("binary"), F.lit(b""))
     rows = pages.withColumn("__digest", F.sha2(body, 256)).withColumn("__key", shared.id_key(F.col(key)))
     small = rows.select("__key", "__digest", F.col(key).alias("__id"), F.length(body).alias("__n")).distinct()
@@ -307,12 +312,16 @@ def _uri(folder: str) -> str:
 
 
 def round_trip(pages: DataFrame, key: str = "page_id", payload: str = "html", url: str | None = "url", least_bytes: int = 0) -> DataFrame:
-    """Write all pages, read the archives back, and remove them; records and gaps without their payloads."""
+    """Write all pages, read the archives back, and remove them; records and gaps without their payloads.
+
+    Only the named columns are read, so others may have any names.
+    """
     from pyarrow import fs
 
     spark = pages.sparkSession
     folder = _uri(shared.work_folder(spark))
-    manifest = write_archives(with_revisits(pages, key, payload, least_bytes), folder, key, payload, url)
+    named = pages.select(F.col(key).alias("page"), F.col(payload).alias("body"), (F.col(url).cast("string") if url else F.lit(None).cast("string")).alias("address"))
+    manifest = write_archives(with_revisits(named, "page", "body", least_bytes), folder, "page", "body", "address")
     files = manifest.repartition(max(1, manifest.count()))
     found = shared.store(read_archives(files, payloads=False).drop("payload"))
     store, base = fs.FileSystem.from_uri(folder)

@@ -17,7 +17,8 @@ def clashing(df):
     """The table with further columns that have the names of columns operators make."""
     from pyspark.sql import functions as F
 
-    names = ("id", "key", "row", "digest", "kept", "keep_id", "fp", "component_id", "score", "draw", "copies", "text_sha256", "next", "shard")
+    names = ("id", "key", "row", "digest", "kept", "keep_id", "fp", "component_id", "score", "draw", "copies", "text_sha256", "next", "shard",
+        "__key", "__copies", "__again", "__digest", "__n", "__w", "__id", "revisit", "refers_to", "body", "address", "page", "of", "size", "word", "n", "lost")
     return df.withColumns({n: F.lit("x") for n in names})
 
 

@@ -13,6 +13,7 @@ from listlens.functions.scoring import score_text
 from listlens.operators import text_profile as tp
 from listlens.operators import tfidf
 from listlens.plans.title_report import title_report
+from listlens.plans.warranty import with_warranty_flags
 from listlens.session import cut_lineage
 
 c = F.col
@@ -333,6 +334,21 @@ def _(spark, d):
     return tx.with_category(rows, "text", "guess", LANGUAGES, "unknown").drop("text")
 
 
+def _warranty_sql() -> str:
+    score = {n: "(" + " + ".join(f"contains(low, '{w}')::int" for w in ws) + ")" for n, ws in fv.WARRANTY_WORDS.items()}
+    best = f"greatest({', '.join(score.values())})"
+    cases = " ".join(f"when {s} = {best} then '{n}'" for n, s in score.items())
+    none, listed = fv.WARRANTY_LABELS[-1], ", ".join(f"'{v}'" for v in fv.NO_WARRANTY_LABELS)
+    return f"""select doc_id, warranty_category, (warranty_category in ({listed}))::bigint as sin_garantia, (warranty_category not in ({listed}))::bigint as garantia_especifica
+from (select doc_id, case when {best} = 0 then '{none}' {cases} end as warranty_category from (select doc_id, lower(coalesce(text, '')) as low from documents))"""
+
+
+@query("t15_warranty_flags", _warranty_sql())
+def _(spark, d):
+    rows = table(spark, d, "documents", True).select("doc_id", c("text").alias("warranty"))
+    return with_warranty_flags(rows).drop("warranty")
+
+
 @query("t16_render", "select doc_id, 'Title: \"' || text || '\" in ' || lang || ' {json}' as prompt from documents")
 def _(spark, d):
     return table(spark, d, "documents", True).select(

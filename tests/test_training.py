@@ -14,6 +14,7 @@ from listlens import fixed_values as fv
 from listlens.operators import analysis as an
 from listlens.operators import evaluate, models, tfidf
 from listlens.plans.feature_selection import analyse_features
+from listlens.plans.warranty import classify_warranty, with_warranty_flags
 from listlens.plans.listing_features import balanced, listing_features, test_features as features_for_test, training_features
 from listlens.plans.model_selection import select_model
 from listlens.plans.title_model import demo_scores, hybrid_stages, score_titles, train_title_model
@@ -250,3 +251,18 @@ def test_report_sections(spark, listings):
     rows = title_report(listings).collect()
     assert {(r["name"], r["class"]): r["value"] for r in rows if r["section"] == "basic_stats"}[("count", "new")] == 60
     assert any(r["section"] == "regex_patterns" for r in rows)
+
+
+def test_warranty_text_to_flags(spark, listings):
+    texts = [(1, "6 meses de garantía"), (2, None), (3, " \t"), (4, "Sin garantia"), (5, "reputacion del vendedor"), (6, "???")]
+    df = spark.createDataFrame(texts, "id int, warranty string")
+    got = {r["id"]: (r["warranty"], r["warranty_category"], r["sin_garantia"], r["garantia_especifica"]) for r in with_warranty_flags(df).collect()}
+    none, time, seller = fv.WARRANTY_LABELS[8], fv.WARRANTY_LABELS[2], fv.WARRANTY_LABELS[5]
+    assert got == {
+        1: ("6 meses de garantía", time, 0, 1), 2: ("", none, 1, 0), 3: (" \t", none, 1, 0), 4: ("Sin garantia", none, 1, 0),
+        5: ("reputacion del vendedor", seller, 1, 0), 6: ("???", none, 1, 0),
+    }
+    asked = classify_warranty(df, scorer=lambda batch: [time if "garant" in t else "made up" for t in batch])
+    assert {r["id"]: r["warranty_category"] for r in asked.collect()} == {1: time, 2: none, 3: none, 4: time, 5: none, 6: none}
+    raw = listings.limit(5).withColumn("warranty", F.lit("12 meses")).drop("warranty_category")
+    assert {(r["sin_garantia"], r["garantia_especifica"]) for r in listing_features(raw, "test").collect()} == {(0, 1)}

@@ -15,12 +15,14 @@ from listlens.bindings.tables import DOC_LABELS, DOC_OUTER, LISTINGS, TITLES, do
 from listlens.functions import encode
 from listlens.functions.text import TITLE_FEATURES
 from listlens.operators import analysis as an
-from listlens.operators import balance, counts, evaluate, models, ordering, sets
+from listlens.operators import balance, counts, evaluate, models, ordering, sets, stored_pca
 from listlens.plans.feature_selection import analyse_features
 from listlens.plans.listing_features import balanced, listing_features
 from listlens.plans.model_selection import select_model
-from listlens.plans.title_model import hybrid_stages, train_title_model
-from listlens.sources.files import stratified_split
+from listlens.plans.stored_listings import fit_listings
+from listlens.plans.title_model import fold_title_scores, hybrid_stages, train_title_model
+from listlens.session import shared_folder
+from listlens.sources.files import holdout_last, load_model, save_model, stratified_split
 
 c = F.col
 NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -156,6 +158,19 @@ def _(spark, d):
     return an.top_loadings(rows, an.fit_pca(rows, VECTOR))
 
 
+@query("s12_stored_pca", f"""
+select i::bigint as position, true as share, true as descending, true as uncorrelated, true as unit, {len(VECTOR)}::bigint as components,
+ (select count(*) from embeddings)::bigint as rows from range(1, {len(VECTOR) + 1}) t(i)""")
+def _(spark, d):
+    # Every component is kept, stored, loaded and applied again; the checks are of the loaded model.
+    rows, path = _vectors(spark, d), shared_folder(spark)
+    stored_pca.save_pca(an.fit_pca(rows, VECTOR, n_components=len(VECTOR)), rows, path)
+    model, ratios, facts = stored_pca.load_pca(spark, path)
+    applied = model.transform(rows).agg(F.count("PC1").alias("rows"))
+    checks = stored_pca.pca_checks(rows, model, ratios)
+    return checks.select("*", facts.select("components").scalar().alias("components"), applied.select("rows").scalar().alias("rows"))
+
+
 def _doc_features(spark, d):
     """Numeric features and 0/1 label of the labelled documents."""
     text = c("text")
@@ -502,6 +517,48 @@ def _(spark, d):
     return scored.select("doc_id", "probabilidad_new", "probabilidad_used")
 
 
+@query("e9_fold_scores", f"""
+select doc_id, ((row_number() over (partition by condition order by ('0x' || substr(md5(cast(doc_id as varchar)), 1, 15))::bigint, doc_id) - 1) % 3)::bigint as fold,
+ 1.0::double as total, true as inside from {DOC_LABELS}""")
+def _(spark, d):
+    draw = F.conv(F.substring(F.md5(c("doc_id").cast("string")), 1, 15), 16, 10).cast("bigint")
+    rows = doc_labels(spark, d).select("doc_id", c("text").alias("title"), "condition")
+    labelled = rows.withColumn("label", encode.label_code(c("condition"), fv.LABEL_CODES).cast("double"))
+    scored = fold_title_scores(models.stratified_folds(labelled, "condition", "doc_id", draw=draw))
+    new, used = c("probabilidad_new"), c("probabilidad_used")
+    return scored.select("doc_id", "fold", (new + used).alias("total"), (new.between(0, 1) & used.between(0, 1)).alias("inside"))
+
+
+LATE = f"(select *, rank() over (order by l_orderkey desc, l_linenumber desc) <= 1000 as late from {LISTINGS})"
+
+
+@query("e10_e11_stored_pipeline", f"""
+with n as (select late, case condition when 'new' then 0 else 1 end as condition, count(*) as rows from {LATE} group by 1, 2)
+select 'training' as part, condition::bigint as condition, (select max(rows) from n where not late)::bigint as rows,
+ ((select max(rows) from n where not late) - rows)::bigint as synthetic, (select max(rows) from n where not late)::bigint as scored, true as same_columns from n where not late
+union all select 'test', null, sum(rows)::bigint, 0::bigint, sum(rows)::bigint, true from n where late""")
+def _(spark, d):
+    # The last rows are held out; the fitted transform is stored and loaded before it meets them.
+    train, test = holdout_last(listings(spark, d), "l_orderkey", 1000, ["l_linenumber"])
+    lines = table(spark, d, "lineitem").columns
+    fitted = fit_listings(train.withColumn("id", F.xxhash64(*lines)), "id")
+    path = shared_folder(spark)
+    save_model(fitted.model, path)
+    held = load_model(path).transform(test)
+    same = [x for x in fitted.table.columns if x not in ("id", "condition", "is_synthetic")] == held.columns
+    new, used = c("probabilidad_new"), c("probabilidad_used")
+    # Synthetic rows lie between their neighbours, so their scores stay inside, too.
+    scored = F.count_if(new.between(0, 1) & used.between(0, 1) & (F.abs(new + used - 1) < 1e-6)).alias("scored")
+    both = (F.lit(same)).alias("same_columns")
+    mine = fitted.table.groupBy("condition").agg(F.count(F.lit(1)).alias("rows"), F.count_if("is_synthetic").alias("synthetic"), scored)
+    theirs = held.agg(F.count(F.lit(1)).alias("rows"), scored)
+    return mine.select(F.lit("training").alias("part"), c("condition").cast("bigint").alias("condition"), "rows", "synthetic", "scored", both).unionByName(
+        theirs.select(
+            F.lit("test").alias("part"), F.lit(None).cast("bigint").alias("condition"), "rows", F.lit(0).cast("bigint").alias("synthetic"), "scored", both
+        )
+    )
+
+
 @query("e10_balanced_training", f"""
 select condition::bigint as condition, rows from (
  select case condition when 'new' then 0 else 1 end as condition, (select max(n) from (select count(*) as n from {LISTINGS} group by condition))::bigint as rows from {LISTINGS} group by 1)""")

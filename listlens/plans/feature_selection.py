@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from listlens.operators import analysis as an
 from listlens.operators.sets import lookup_scores
+from listlens.operators.stored_pca import save_pca
 from listlens.sources import files
 
 
@@ -79,5 +80,4 @@ def _write(result: Analysis, output: str) -> None:
         if df is not None:
             files.write_parquet(df, f"{output}/{name}")
     if result.pca is not None:
-        result.pca.model.write().overwrite().save(f"{output}/pca_model")
-        files.write_parquet(result.pca.facts(result.summary), f"{output}/pca_facts")
+        save_pca(result.pca, result.summary, f"{output}/pca")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,12 +26,12 @@ def empty_count(df: DataFrame, array: str) -> DataFrame:
 def key_population(df: DataFrame, struct: str, examples: int = 5) -> DataFrame:
     """Per struct field: rows with content, and up to ``examples`` distinct contents as text.
 
-    Content is a non-empty list, or a value that is neither null nor ''. Contents are made distinct
-    by a keyed aggregation before any are picked, and the pick keeps the smallest ones, so the
-    state per field is bounded.
+    Content is a non-empty list, or a value that is neither null nor ''. The smallest contents in
+    code-point order are shown. Each task counts its rows and keeps its ``examples`` smallest contents
+    per field, so that many rows per field and task are shuffled, however many contents there are.
     """
     fields = df.schema[struct].dataType.fields
-    pairs = []
+    contents = []
     for f in fields:
         value = F.col(struct).getField(f.name)
         if isinstance(f.dataType, T.ArrayType):
@@ -37,20 +39,35 @@ def key_population(df: DataFrame, struct: str, examples: int = 5) -> DataFrame:
         else:
             shown = value.cast("string") if not isinstance(f.dataType, T.StructType) else F.to_json(value)
             filled = value.isNotNull() & (shown != "")
-        pairs.append(F.struct(F.lit(f.name).alias("key"), F.when(filled, shown).alias("value")))
-    counts = (
-        df.select(F.inline(F.array(*pairs)))
-        .groupBy("key", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    totals = counts.groupBy("key").agg(
-        F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("rows_with_content")
+        contents.append(F.when(filled, shown))
+    partial = df.select(*[v.alias(f"c{i}") for i, v in enumerate(contents)]).mapInPandas(
+        _smallest([f.name for f in fields], examples), "key string, value string, n bigint"
     )
+    # A null value carries the rows of its task.
+    counts = partial.groupBy("key", "value").agg(F.sum("n").alias("n"))
+    totals = counts.where(F.col("value").isNull()).select("key", F.col("n").alias("rows_with_content"))
     shown = top_k_per_group(counts.where(F.col("value").isNotNull()), ["key"], [F.asc("value")], examples)
     lists = shown.groupBy("key").agg(F.array_sort(F.collect_list("value")).alias("examples"))
     return totals.join(lists, "key", "left")
 
 
+def _smallest(names: Sequence[str], k: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Per task and column: rows with a value, and the ``k`` smallest distinct values."""
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, least = [0] * len(names), [[] for _ in names]
+        for pdf in batches:
+            for i in range(len(names)):
+                values = pdf.iloc[:, i].dropna()
+                rows[i] += len(values)
+                least[i] = heapq.nsmallest(k, {*least[i], *values.unique()})
+        out = [(name, None, n) for name, n in zip(names, rows)]
+        out += [(name, value, 0) for name, values in zip(names, least) for value in values]
+        yield pd.DataFrame(out, columns=["key", "value", "n"])
+
+    return task
+
+
 def tuple_counts(df: DataFrame, array: str, fields: Sequence[str], k: int | None = 10) -> DataFrame:
     """Occurrences of each field combination in an array of structs, the ``k`` most frequent first."""
     items = df.select(F.explode(array).alias("x")).select(*[F.col("x").getField(f).alias(f) for f in fields])

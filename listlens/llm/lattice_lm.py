@@ -9,19 +9,22 @@ probabilities sum to at most one.
 
 Piece weights are fitted to the training rows by expectation maximisation: the counts of all distinct words, a
 distributed table, are the data; a forward and backward pass gives each word's expected pieces, their sums
-(one number per piece) give the next weights. Words are worked on many at a time, sorted by length, with one
-array per position.
+(one number per piece) give the next weights. Rounds end when one raises the log likelihood of the training words by less
+than ``LEAST_GAIN`` of it. Words are worked on many at a time, sorted by length, with one array per position.
 
-The base score needs each word's training count. Counts of the most frequent words (at most ``HOT_WORDS``, of at most
-``HOT_BYTES`` bytes) are broadcast; rarer words are joined by shuffle, where none of them is frequent enough to be a hot key.
+After the last round each distinct training word gets its count and its log probability, once. Those of the most frequent words
+(at most ``HOT_WORDS``) are broadcast; rarer words get theirs by a shuffle join, where none of them is frequent enough
+to be a hot key. Only words that no training text has still need the recursion, after the join. Words of more than ``LONG_BYTES``
+bytes are named by their SHA-256 in both, so that a long line of many texts is sent as one short key.
 
 Defined cases: a null text is empty and has one token, its end; rows without an id have the checksum of an empty id;
 repeated rows are scored and counted each; without training rows counts are zero and weights are the vocabulary's;
-empty tables give no rows.
+words of any length are fitted and scored whole; other columns, whatever their names, are not looked at; empty tables give no rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -34,11 +37,12 @@ from pyspark.sql import types as T
 
 from listlens.llm import shared
 
-#: Rounds of expectation maximisation, and how many observed pieces the vocabulary's own weights count as.
-EM_ROUNDS = 2
+#: Fitting ends with the round that gains less than this part of the log likelihood.
+LEAST_GAIN = 0.01
+#: How many observed pieces the vocabulary's own weights count as.
 PRIOR_PIECES = 1000.0
 HOT_WORDS = 200_000
-HOT_BYTES = 64
+LONG_BYTES = 64
 #: Words worked on together, the longest of them, and how many probabilities a task remembers.
 TOGETHER = 20_000
 LONGEST_TOGETHER = 48
@@ -102,21 +106,43 @@ class Lattice:
             self.codes[code] = sum(float(self.weights[self.n + b]) for b in self.bytes_of(code))
         return self.codes[code]
 
-    def one(self, word: str) -> float:
-        """Log probability of a word, for words too long to be worked on with others."""
-        chars = [MARK, *(c if c != MARK else "" for c in word)]
+    def _pieces_at(self, chars: list[str], end: int) -> Iterator[tuple[int, float, int | None]]:
+        """(start, log weight, piece) of all that can end at ``end``; without a piece it is a character as bytes."""
+        yield end - 1, self.by_bytes(ord(chars[end - 1]) if chars[end - 1] else _NO_CODE), None
+        for size in range(1, min(self.longest, end) + 1):
+            if not chars[end - size]:
+                break
+            i = self.place.get("".join(chars[end - size : end]))
+            if i is not None:
+                yield end - size, float(self.weights[i]), i
+
+    def _alpha(self, chars: list[str]) -> list[float]:
         alpha = [0.0, *[-math.inf] * len(chars)]
         for end in range(1, len(chars) + 1):
-            paths = [alpha[end - 1] + self.by_bytes(ord(chars[end - 1]) if chars[end - 1] else _NO_CODE)]
-            for size in range(1, min(self.longest, end) + 1):
-                if not chars[end - size]:
-                    break
-                i = self.place.get("".join(chars[end - size : end]))
+            alpha[end] = _log_sum([alpha[start] + weight for start, weight, _ in self._pieces_at(chars, end)])
+        return alpha
+
+    def one(self, word: str) -> float:
+        """Log probability of a word, for words too long to be worked on with others."""
+        return self._alpha(_chars(word))[-1]
+
+    def _expected_of_one(self, word: str, times: int, out: np.ndarray) -> float:
+        """Adds the expected uses in a long word to ``out``; its log probability."""
+        chars = _chars(word)
+        alpha = self._alpha(chars)
+        z = alpha[-1]
+        beta = [*[-math.inf] * len(chars), 0.0]
+        for end in range(len(chars), 0, -1):  # what follows ``end`` is complete before anything passes it on
+            for start, weight, i in self._pieces_at(chars, end):
+                through = weight + beta[end]
+                beta[start] = _log_sum([beta[start], through])
+                share = times * math.exp(alpha[start] + through - z)
                 if i is not None:
-                    paths.append(alpha[end - size] + float(self.weights[i]))
-            top = max(paths)
-            alpha[end] = top + math.log(sum(math.exp(p - top) for p in paths))
-        return alpha[-1]
+                    out[i] += share
+                else:
+                    for b in self.bytes_of(ord(chars[start]) if chars[start] else _NO_CODE):
+                        out[self.n + b] += share
+        return z
 
     def _matrix(self, words: list[str]) -> tuple[np.ndarray, list[int]]:
         """Code points by position and word, longest word first, and for each length how many words are at least as long."""
@@ -181,14 +207,14 @@ class Lattice:
         return out
 
     def expected(self, counts: dict[str, int]) -> np.ndarray:
-        """Expected uses of each piece and byte in all paths of the words, times their counts."""
+        """Expected uses of each piece and byte in all paths of the words, times their counts; notes the words' log likelihood."""
         out = np.zeros(self.n + 257)
-        for some in _batches(counts):
-            words, times = (some, [counts[w] for w in some]) if len(some[0]) <= LONGEST_TOGETHER else (_cut_long(some[0]), None)
-            if times is None:
-                times = [counts[some[0]]] * len(words)
-            order = sorted(range(len(words)), key=lambda i: -len(words[i]))
-            words, n = [words[i] for i in order], np.array([times[i] for i in order], float)
+        self.log_likelihood = 0.0
+        for words in _batches(counts):
+            if len(words[0]) > LONGEST_TOGETHER:
+                self.log_likelihood += counts[words[0]] * self._expected_of_one(words[0], counts[words[0]], out)
+                continue
+            n = np.array([counts[w] for w in words], float)
             codes, at_least = self._matrix(words)
             edges: list[tuple[int, int, np.ndarray, np.ndarray]] = []
             alpha, single = self._forward(codes, at_least, edges), self._by_bytes(codes)
@@ -196,6 +222,7 @@ class Lattice:
             beta, ends = np.full((t + 1, width), -np.inf), np.array([len(w) + 1 for w in words])
             beta[ends, np.arange(width)] = 0
             z = alpha[ends, np.arange(width)]
+            self.log_likelihood += float(n @ z)
             at = len(edges)
             for p in range(t - 1, -1, -1):
                 m = at_least[p + 1]
@@ -218,9 +245,14 @@ class Lattice:
         return out
 
 
-def _cut_long(word: str) -> list[str]:
-    """A very long word in pieces of bounded length, for expected counts only."""
-    return [word[i : i + LONGEST_TOGETHER] for i in range(0, len(word), LONGEST_TOGETHER)]
+def _chars(word: str) -> list[str]:
+    """The marked word by character; a mark inside a word is no character of a piece."""
+    return [MARK, *(c if c != MARK else "" for c in word)]
+
+
+def _log_sum(logs: list[float]) -> float:
+    top = max(logs)
+    return top + math.log(sum(math.exp(x - top) for x in logs))
 
 
 def _batches(words: Iterable[str]) -> Iterator[list[str]]:
@@ -263,106 +295,153 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInPandas(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def train(counts: DataFrame, vocabulary: str, rounds: int = EM_ROUNDS) -> tuple[list[str], np.ndarray]:
+def word_key(word: Column) -> Column:
+    """The word itself, or for a long one its SHA-256 behind a space, which no word has."""
+    return F.when(F.octet_length(word) > LONG_BYTES, F.concat(F.lit(" "), F.sha2(word, 256))).otherwise(word)
+
+
+def _key(word: str) -> str:
+    if len(word) * 4 <= LONG_BYTES:
+        return word
+    as_bytes = word.encode("utf-8", "surrogatepass")
+    return word if len(as_bytes) <= LONG_BYTES else " " + hashlib.sha256(as_bytes).hexdigest()
+
+
+def train(counts: DataFrame, vocabulary: str, least_gain: float = LEAST_GAIN) -> tuple[list[str], np.ndarray]:
     """Pieces and their log weights, fitted to the counts."""
     pieces, scores = load_pieces(vocabulary)
     weights = starting_weights(scores)
     prior, sc = np.exp(weights) * PRIOR_PIECES, counts.sparkSession.sparkContext
-    for _ in range(rounds):
+    before = None
+    while True:
         now = sc.broadcast((pieces, weights))
 
         def expect(batches, now=now):
-            lattice, total = Lattice(*now.value), np.zeros(len(now.value[1]))
+            lattice, total, likelihood = Lattice(*now.value), np.zeros(len(now.value[1])), 0.0
             for pdf in batches:
                 words = dict(zip(pdf["word"], pdf["c"]))
-                total[-1] += words.pop(END, 0)
-                total += lattice.expected(words) if words else 0
+                ends = words.pop(END, 0)
+                total[-1] += ends
+                likelihood += ends * lattice.end()
+                if words:
+                    total += lattice.expected(words)
+                    likelihood += lattice.log_likelihood
             used = np.flatnonzero(total)
-            yield pd.DataFrame({"piece": used, "n": total[used]})
+            yield pd.DataFrame({"piece": [-1, *used], "n": [likelihood, *total[used]]})
 
-        got = counts.mapInPandas(expect, "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n")).toPandas()
+        # The piece -1 carries the log likelihood.
+        got = counts.select("word", "c").mapInPandas(expect, "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n")).toPandas()
+        now.unpersist()
+        likelihood = float(got.loc[got["piece"] < 0, "n"].sum())
+        got = got[got["piece"] >= 0]
         total = prior.copy()
         total[got["piece"].to_numpy()] += got["n"].to_numpy()
         weights = np.log(total / total.sum())
-    return pieces, weights
+        if likelihood == 0 or (before is not None and likelihood - before < least_gain * abs(before)):
+            return pieces, weights
+        before = likelihood
 
 
-def hot_words(counts: DataFrame, most: int = HOT_WORDS) -> tuple[dict[str, int], Column]:
-    """The most frequent words, at most ``most``, and the condition on (word, c) that they meet.
+def with_probabilities(counts: DataFrame, pieces: list[str], weights: np.ndarray) -> DataFrame:
+    """(key, c, log_p) of each training word: its key, count and log probability (of the end: its weight)."""
+    sent = counts.sparkSession.sparkContext.broadcast((pieces, weights))
+
+    def recall(batches):
+        lattice = Lattice(*sent.value)
+        for pdf in batches:
+            of = lattice.many(w for w in pdf["word"] if w != END)
+            of[END] = lattice.end()
+            yield pd.DataFrame({"word": pdf["word"], "c": pdf["c"], "log_p": [of[w] for w in pdf["word"]]})
+
+    return counts.select("word", "c").mapInPandas(recall, "word string, c long, log_p double").select(word_key(F.col("word")).alias("key"), "c", "log_p")
+
+
+def hot_words(known: DataFrame, most: int = HOT_WORDS) -> dict[str, tuple[int, float]]:
+    """Count and log probability of the most frequent words, at most ``most``, and of the end, by key.
 
     The least count is found from the number of words per eighth of a power of two of the count.
     """
     size = F.floor(F.log2("c") * 8)
-    n_of = counts.groupBy(size.alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("size")).collect()
+    n_of = known.groupBy(size.alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("size")).collect()
     cut, n = None, 0
     for r in n_of:
         n += r["n"]
         if n > most:
             break
         cut = r["size"]
-    hot = (size >= (cut if cut is not None else 10_000)) & (F.octet_length("word") <= HOT_BYTES)
-    got = counts.where(hot).toPandas()
-    return dict(zip(got["word"], got["c"].tolist())), hot
+    got = known.where((size >= (cut if cut is not None else 10_000)) | (F.col("key") == END)).toPandas()
+    return dict(zip(got["key"], zip(got["c"].tolist(), got["log_p"].tolist())))
 
 
-def score(docs: DataFrame, counts: DataFrame, pieces: list[str], weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, held_out, n_tokens, n_known, base_score, score) of each row."""
+def score(docs: DataFrame, known: DataFrame, pieces: list[str], weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, held_out, n_tokens, n_known, base_score, score) of each row; ``known`` comes from ``with_probabilities``."""
     spark = docs.sparkSession
-    tokens, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    tokens, kinds = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     floor = math.log10(tokens + kinds + 1)
-    frequent, _ = hot_words(counts)
-    sent = spark.sparkContext.broadcast((pieces, weights, frequent))
+    sent = spark.sparkContext.broadcast(hot_words(known))
+    model = spark.sparkContext.broadcast((pieces, weights))
+    end = float(weights[-1])
 
     def summarise(batches):
-        pieces, weights, frequent = sent.value
-        lattice, known = Lattice(pieces, weights), {}
-        base_of = {w: math.log10(c + 1) - floor for w, c in frequent.items()}
-        for pdf in batches:
-            for lo in range(0, len(pdf), 500):
-                some = pdf.iloc[lo : lo + 500]
-                texts = [Counter(text_words(t)) for t in some["text"]]
-                missing = {w for t in texts for w in t if w not in known}
-                if len(known) + len(missing) > REMEMBERED:
-                    known.clear()
-                    missing = {w for t in texts for w in t}
-                known.update(lattice.many(missing))
-                rows, words, times, ids, docs_of = [], [], [], [], []
-                for row, i, t in zip(some["row"].tolist(), some["id"].tolist(), texts):
-                    marginal = math.fsum(n * known[w] for w, n in t.items()) + lattice.end()
-                    t[END] += 1
-                    met = {w: n for w, n in t.items() if w in base_of}
-                    base = math.fsum(n * base_of[w] for w, n in met.items())
-                    rows.append(row)
-                    words.append(f" {row}")  # no word has a space: a key of its own
-                    times.append(0)
-                    ids.append(i)
-                    docs_of.append({"n_tokens": sum(t.values()), "n_known": sum(met.values()), "base": base, "score": marginal / math.log(10)})
-                    for w, n in t.items():
-                        if w not in met:
-                            rows.append(row), words.append(w), times.append(n), ids.append(None), docs_of.append(None)
-                yield pd.DataFrame({"row": rows, "word": pd.Series(words, dtype=object), "tf": times, "id": pd.Series(ids, dtype=object), "doc": docs_of})
+        of = {w: (math.log10(c + 1) - floor, p) for w, (c, p) in sent.value.items()}
+        of_end = of.get(END, (-floor, end))
+        for pdf in (all_rows.iloc[lo : lo + 500] for all_rows in batches for lo in range(0, len(all_rows), 500)):
+            rows, keys, longs, times, ids, docs_of = [], [], [], [], [], []
+            for row, i, text in zip(pdf["row"].tolist(), pdf["id"].tolist(), pdf["text"]):
+                all_words = text_words(text)
+                base, marginal, met = [of_end[0]], [of_end[1]], int(END in of)
+                for w, n in Counter(all_words).items():
+                    k = _key(w)
+                    if k in of:
+                        met += n
+                        base.append(n * of[k][0])
+                        marginal.append(n * of[k][1])
+                    else:
+                        rows.append(row), keys.append(k), longs.append(w if k != w else None), times.append(n), ids.append(None), docs_of.append(None)
+                rows.append(row)
+                keys.append(f" {row}")  # a key of its own: no word has a space, a digest is longer
+                longs.append(None), times.append(0), ids.append(i)
+                docs_of.append({"n_tokens": len(all_words) + 1, "n_known": met, "base": math.fsum(base), "log_p": math.fsum(marginal)})
+            yield pd.DataFrame({
+                "row": rows, "key": pd.Series(keys, dtype=object), "long": pd.Series(longs, dtype=object), "tf": times,
+                "id": pd.Series(ids, dtype=object), "doc": pd.Series(docs_of, dtype=object),
+            })
+
+    @F.pandas_udf("double")
+    def recursion(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        lattice, seen = Lattice(*model.value), {}
+        for words in parts:
+            new = {w for w in words if w is not None} - seen.keys()
+            if len(seen) + len(new) > REMEMBERED:
+                seen.clear()
+                new = {w for w in words if w is not None}
+            seen.update(lattice.many(new))
+            yield words.map(seen).astype(float)
 
     # Ids travel as text: null numbers would make a pandas column of floats.
     numbered = docs.select(docs[id_col].cast("string").alias("id"), docs[text_col].alias("text"), F.monotonically_increasing_id().alias("row"))
     parts = numbered.mapInPandas(
-        summarise, "row long, word string, tf long, id string, doc struct<n_tokens:long,n_known:long,base:double,score:double>"
+        summarise, "row long, key string, long string, tf long, id string, doc struct<n_tokens:long,n_known:long,base:double,log_p:double>"
     ).withColumn("id", F.col("id").cast(docs.schema[id_col].dataType))
-    c = F.coalesce("c", F.lit(0))
-    judged = parts.join(counts, "word", "left").select(
-        "row", "id", "doc.n_tokens", "doc.score",
-        F.when(F.col("doc").isNotNull(), F.col("doc.n_known")).when(c > 0, F.col("tf")).otherwise(0).alias("n_known"),
-        F.when(F.col("doc").isNotNull(), F.col("doc.base")).otherwise(F.col("tf") * (F.log10(c + 1) - F.lit(floor))).alias("base"),
+    unseen = F.when(F.col("doc").isNull() & F.col("c").isNull(), F.coalesce("long", "key"))
+    joined = parts.join(known, "key", "left").withColumn("fresh", recursion(unseen))
+    of_doc, c = F.col("doc").isNotNull(), F.coalesce("c", F.lit(0))
+    judged = joined.select(
+        "row", "id", "doc.n_tokens",
+        F.when(of_doc, F.col("doc.log_p")).otherwise(F.col("tf") * F.coalesce("log_p", "fresh")).alias("log_p"),
+        F.when(of_doc, F.col("doc.n_known")).when(c > 0, F.col("tf")).otherwise(0).alias("n_known"),
+        F.when(of_doc, F.col("doc.base")).otherwise(F.col("tf") * (F.log10(c + 1) - F.lit(floor))).alias("base"),
     )
     sums = judged.groupBy("row").agg(
-        F.max("id").alias("id"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("score").alias("score")
+        F.max("id").alias("id"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("log_p").alias("log_p")
     )
     return sums.select(
         "id", F.coalesce(held_out(F.col("id")), F.lit(False)).alias("held_out"), "n_tokens", "n_known",
-        F.lit(tokens).cast(T.LongType()).alias("train_tokens"), "base_score", "score",
+        F.lit(tokens).cast(T.LongType()).alias("train_tokens"), "base_score", (F.col("log_p") / math.log(10)).alias("score"),
     )
 
 
 def op7(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     counts = shared.store(word_counts(docs.where(~held_out(F.col("doc_id")))))
-    model = train(counts, vocabulary or default_vocabulary())
-    return score(docs, counts, *model).withColumnRenamed("id", "doc_id")
+    pieces, weights = train(counts, vocabulary or default_vocabulary())
+    return score(docs, shared.store(with_probabilities(counts, pieces, weights)), pieces, weights).withColumnRenamed("id", "doc_id")

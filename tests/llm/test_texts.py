@@ -130,6 +130,55 @@ def test_expected_uses_raise_the_likelihood():
         now = np.log(e / e.sum())
 
 
+@pytest.mark.parametrize("word", ["ab" * 60, "éa▁b" * 30, "x" * 49])
+def test_long_words_are_fitted_whole(word, monkeypatch):
+    names, weights = small_lattice()
+    lattice = LM.Lattice(names, weights)
+    alone, likelihood = lattice.expected({word: 3, "ab": 2}), lattice.log_likelihood
+    monkeypatch.setattr(LM, "LONGEST_TOGETHER", 1000)
+    together = lattice.expected({word: 3, "ab": 2})
+    assert np.allclose(alone, together, rtol=1e-9, atol=1e-12) and likelihood == pytest.approx(lattice.log_likelihood)
+    assert likelihood == pytest.approx(3 * lattice.one(word) + 2 * lattice.one("ab"))
+
+
+def plain_log_p(word, at):
+    """Forward recursion over characters, written plainly."""
+    chars = ["▁", *word]
+    alpha = [1.0] + [0.0] * len(chars)
+    for e in range(1, len(chars) + 1):
+        alpha[e] = alpha[e - 1] * math.prod(at[b] for b in chars[e - 1].encode())
+        for b in range(e):
+            if "▁" not in chars[max(b, 1):e]:
+                alpha[e] += alpha[b] * at.get("".join(chars[b:e]), 0.0)
+    return math.log(alpha[-1])
+
+
+def test_query_scores_equal_a_plain_recursion(spark, monkeypatch):
+    line = "no-space-" * 12
+    rows = [(i, prose(i, 30) + (f" {line}" if i % 2 else "") + f" only{i}here") for i in range(40)] + [(50, None), (51, ""), (None, "odd row")]
+    table = docs(spark, rows)
+    out = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    pieces, weights = LM.train(LM.word_counts(table.where(~LM.held_out(table["doc_id"]))), LM.default_vocabulary())
+    at = {p: math.exp(w) for p, w in zip(pieces, weights)} | {b: math.exp(weights[len(pieces) + b]) for b in range(256)}
+    words = lambda t: [w.decode() for w in (t or "").encode().lower().split()]
+    want = {i: (out(i), (sum(plain_log_p(w, at) for w in words(t)) + weights[-1]) / math.log(10)) for i, t in rows}
+    for most in (LM.HOT_WORDS, 3):  # by broadcast, and by join
+        monkeypatch.setattr(LM.hot_words, "__defaults__", (most,))
+        got = {r.doc_id: (r.held_out, r.score) for r in LM.op7(table).collect()}
+        assert got.keys() == want.keys() and any(h for h, _ in got.values())
+        assert all(got[i][0] == want[i][0] and got[i][1] == pytest.approx(want[i][1], rel=1e-9) for i in want)
+
+
+def test_fitting_goes_on_while_it_gains(spark):
+    counts = LM.word_counts(docs(spark, [(i, prose(i, 60)) for i in range(40)])).persist()
+    words = {r.word: r.c for r in counts.collect() if r.word}
+
+    def likelihood(gain):
+        return sum(n * p for n, p in zip(words.values(), map(LM.Lattice(*LM.train(counts, LM.default_vocabulary(), gain)).one, words)))
+
+    assert likelihood(0.5) < likelihood(0.01) < likelihood(0.001)
+
+
 def test_lattice_query_base_columns(spark):
     rows = ODD + [(i, prose(i, 50)) for i in range(20, 60)]
     got = LM.op7(clashing(docs(spark, rows))).collect()

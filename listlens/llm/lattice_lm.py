@@ -31,6 +31,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,14 +85,17 @@ class Lattice:
         self.n, self.weights = len(pieces), weights
         self.place = {p: i for i, p in enumerate(pieces)}
         self.longest = max(map(len, pieces), default=1)
-        self.tables: list[tuple[np.ndarray, np.ndarray]] = []
+        # By length: hashes in order, their pieces, and which leading bits of a scrambled hash occur (most others need no search).
+        self.tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for size in range(1, self.longest + 1):
             some = [i for i, p in enumerate(pieces) if len(p) == size]
             h = np.zeros(len(some), np.uint64)
             for at in range(size):
                 h = h * _BASE + np.array([ord(pieces[i][at]) + 1 for i in some], np.uint64)
             order = np.argsort(h)
-            self.tables.append((h[order], np.array(some, np.int64)[order]))
+            may_be = np.zeros(1 << 18, bool)
+            may_be[_leading(h)] = True
+            self.tables.append((h[order], np.array(some, np.int64)[order], may_be))
         self.codes: dict[int, float] = {}
 
     def end(self) -> float:
@@ -163,21 +167,21 @@ class Lattice:
             for size in range(1, min(self.longest, t - p) + 1):
                 m = at_least[p + size]
                 h = h[:m] * _BASE + shifted[p + size - 1, :m]
-                keys, ids = self.tables[size - 1]
+                keys, ids, may_be = self.tables[size - 1]
                 if not len(keys):
                     continue
-                at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                there = np.flatnonzero(keys[at] == h)
-                if len(there):
-                    yield p, size, there, ids[at[there]]
+                there = np.flatnonzero(may_be[_leading(h)])
+                at = np.minimum(np.searchsorted(keys, h[there]), len(keys) - 1)
+                same = keys[at] == h[there]
+                if same.any():
+                    yield p, size, there[same], ids[at[same]]
 
-    def _by_bytes(self, codes: np.ndarray) -> np.ndarray:
-        some, of = np.unique(codes, return_inverse=True)
-        return np.array([self.by_bytes(int(c)) for c in some])[of].reshape(codes.shape)
-
-    def _forward(self, codes: np.ndarray, at_least: list[int], keep: list | None = None) -> np.ndarray:
+    def _forward(self, codes: np.ndarray, at_least: list[int], keep: list | None = None, single: np.ndarray | None = None) -> np.ndarray:
         t, n = codes.shape
-        alpha, single = np.full((t + 1, n), -np.inf), self._by_bytes(codes)
+        alpha = np.full((t + 1, n), -np.inf)
+        if single is None:
+            some, of = _distinct(codes)
+            single = np.array([self.by_bytes(int(c)) for c in some])[of]
         alpha[0] = 0
         done = 0
         for p, size, words, ids in self._edges(codes, at_least):
@@ -217,7 +221,9 @@ class Lattice:
             n = np.array([counts[w] for w in words], float)
             codes, at_least = self._matrix(words)
             edges: list[tuple[int, int, np.ndarray, np.ndarray]] = []
-            alpha, single = self._forward(codes, at_least, edges), self._by_bytes(codes)
+            some, of = _distinct(codes)
+            single, uses = np.array([self.by_bytes(int(c)) for c in some])[of], np.zeros(len(some))
+            alpha = self._forward(codes, at_least, edges, single)
             t, width = codes.shape
             beta, ends = np.full((t + 1, width), -np.inf), np.array([len(w) + 1 for w in words])
             beta[ends, np.arange(width)] = 0
@@ -237,14 +243,26 @@ class Lattice:
                     share = np.exp(alpha[p, w] + self.weights[ids] + beta[p + size, w] - z[w]) * n[w]
                     out[: self.n] += np.bincount(ids, share, minlength=self.n)
                 at = start
-                share = np.exp(alpha[p, :m] + through - z[:m]) * n[:m]
-                some_codes, of = np.unique(codes[p, :m], return_inverse=True)
-                for code, x in zip(some_codes.tolist(), np.bincount(of, share).tolist()):
-                    for b in self.bytes_of(code):
-                        out[self.n + b] += x
+                uses += np.bincount(of[p, :m], np.exp(alpha[p, :m] + through - z[:m]) * n[:m], minlength=len(some))
+            for code, x in zip(some.tolist(), uses.tolist()):
+                for b in self.bytes_of(code):
+                    out[self.n + b] += x
         return out
 
 
+def _leading(h: np.ndarray) -> np.ndarray:
+    return (h * _BASE) >> np.uint64(46)
+
+
+def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct code points and the place of each among them, without a sort."""
+    place = np.zeros(_NO_CODE + 1, np.int32)
+    place[codes] = 1
+    some = np.flatnonzero(place)
+    place[some] = np.arange(len(some))
+    return some, place[codes]
+
+
 def _chars(word: str) -> list[str]:
     """The marked word by character; a mark inside a word is no character of a piece."""
     return [MARK, *(c if c != MARK else "" for c in word)]
@@ -266,33 +284,34 @@ def _batches(words: Iterable[str]) -> Iterator[list[str]]:
         yield ordered[lo : lo + TOGETHER]
 
 
-def text_words(text: str | None) -> list[str]:
-    return [w.decode("utf-8", "surrogatepass") for w in (text or "").encode("utf-8", "surrogatepass").lower().split()]
+def text_words(text: str | None) -> list[bytes]:
+    """Words as UTF-8: bytes are lower-cased and split by the wanted characters only."""
+    return (text or "").encode("utf-8").lower().split()
 
 
 def held_out(id_col: Column) -> Column:
     return F.crc32(shared.id_text(id_col)) % 7 == 2
 
 
-def _counted(seen: Counter[str]) -> pd.DataFrame:
-    return pd.DataFrame({"word": pd.Series(list(seen.keys()), dtype=object), "c": pd.Series(list(seen.values()), dtype="int64")})
+def _counted(seen: Counter[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, c) over column ``text``, the end of each text as the empty word."""
 
     def count(batches):
-        seen: Counter[str] = Counter()
-        for pdf in batches:
-            for text in pdf["text"]:
-                seen.update(text_words(text))
-                seen[END] += 1
+        seen: Counter[bytes] = Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                seen.update(text_words(text.as_py()))
+                seen[b""] += 1
                 if len(seen) > 500_000:
                     yield _counted(seen)
                     seen.clear()
         yield _counted(seen)
 
-    return texts.select("text").mapInPandas(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return texts.select("text").mapInArrow(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def word_key(word: Column) -> Column:
@@ -300,11 +319,8 @@ def word_key(word: Column) -> Column:
     return F.when(F.octet_length(word) > LONG_BYTES, F.concat(F.lit(" "), F.sha2(word, 256))).otherwise(word)
 
 
-def _key(word: str) -> str:
-    if len(word) * 4 <= LONG_BYTES:
-        return word
-    as_bytes = word.encode("utf-8", "surrogatepass")
-    return word if len(as_bytes) <= LONG_BYTES else " " + hashlib.sha256(as_bytes).hexdigest()
+def _key(word: bytes) -> bytes:
+    return word if len(word) <= LONG_BYTES else b" " + hashlib.sha256(word).hexdigest().encode()
 
 
 def train(counts: DataFrame, vocabulary: str, least_gain: float = LEAST_GAIN) -> tuple[list[str], np.ndarray]:
@@ -383,29 +399,36 @@ def score(docs: DataFrame, known: DataFrame, pieces: list[str], weights: np.ndar
     end = float(weights[-1])
 
     def summarise(batches):
-        of = {w: (math.log10(c + 1) - floor, p) for w, (c, p) in sent.value.items()}
-        of_end = of.get(END, (-floor, end))
-        for pdf in (all_rows.iloc[lo : lo + 500] for all_rows in batches for lo in range(0, len(all_rows), 500)):
-            rows, keys, longs, times, ids, docs_of = [], [], [], [], [], []
-            for row, i, text in zip(pdf["row"].tolist(), pdf["id"].tolist(), pdf["text"]):
-                all_words = text_words(text)
-                base, marginal, met = [of_end[0]], [of_end[1]], int(END in of)
+        of = {w.encode(): (math.log10(c + 1) - floor, p) for w, (c, p) in sent.value.items()}
+        of_end = of.get(b"", (-floor, end))
+        for batch in (whole.slice(lo, 500) for whole in batches for lo in range(0, len(whole), 500)):
+            rare: tuple[list, ...] = ([], [], [], [])  # row, key, long word, times in the text
+            per_row: tuple[list, ...] = ([], [], [], [])  # tokens, known ones, base, log probability
+            numbers = batch.column("row").to_pylist()
+            for row, text in zip(numbers, batch.column("text")):
+                all_words = text_words(text.as_py())
+                base, marginal, met = [of_end[0]], [of_end[1]], int(b"" in of)
                 for w, n in Counter(all_words).items():
                     k = _key(w)
-                    if k in of:
+                    its = of.get(k)
+                    if its is not None:
                         met += n
-                        base.append(n * of[k][0])
-                        marginal.append(n * of[k][1])
+                        base.append(n * its[0])
+                        marginal.append(n * its[1])
                     else:
-                        rows.append(row), keys.append(k), longs.append(w if k != w else None), times.append(n), ids.append(None), docs_of.append(None)
-                rows.append(row)
-                keys.append(f" {row}")  # a key of its own: no word has a space, a digest is longer
-                longs.append(None), times.append(0), ids.append(i)
-                docs_of.append({"n_tokens": len(all_words) + 1, "n_known": met, "base": math.fsum(base), "log_p": math.fsum(marginal)})
-            yield pd.DataFrame({
-                "row": rows, "key": pd.Series(keys, dtype=object), "long": pd.Series(longs, dtype=object), "tf": times,
-                "id": pd.Series(ids, dtype=object), "doc": pd.Series(docs_of, dtype=object),
-            })
+                        for column, value in zip(rare, (row, k, None if k is w else w, n)):
+                            column.append(value)
+                for column, value in zip(per_row, (len(all_words) + 1, met, math.fsum(base), math.fsum(marginal))):
+                    column.append(value)
+            # First the rows themselves, each under a key of its own (no word has a space, a digest is longer), then their rarer words.
+            ids, none = batch.column("id"), len(rare[0])
+            keys = [b" %d" % row for row in numbers]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(numbers + rare[0], pa.int64()), pa.array(keys + rare[1], pa.string()),
+                pa.array([None] * len(keys) + rare[2], pa.string()), pa.array([0] * len(keys) + rare[3], pa.int64()),
+                pa.concat_arrays([ids, pa.nulls(none, ids.type)]),
+                *[pa.concat_arrays([pa.array(x, kind), pa.nulls(none, kind)]) for x, kind in zip(per_row, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))],
+            ], ["row", "key", "long", "tf", "id", "n_tokens", "n_known", "base", "of_hot"])
 
     @F.pandas_udf("double")
     def recursion(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -418,19 +441,19 @@ def score(docs: DataFrame, known: DataFrame, pieces: list[str], weights: np.ndar
             seen.update(lattice.many(new))
             yield words.map(seen).astype(float)
 
-    # Ids travel as text: null numbers would make a pandas column of floats.
-    numbered = docs.select(docs[id_col].cast("string").alias("id"), docs[text_col].alias("text"), F.monotonically_increasing_id().alias("row"))
-    parts = numbered.mapInPandas(
-        summarise, "row long, key string, long string, tf long, id string, doc struct<n_tokens:long,n_known:long,base:double,log_p:double>"
-    ).withColumn("id", F.col("id").cast(docs.schema[id_col].dataType))
-    unseen = F.when(F.col("doc").isNull() & F.col("c").isNull(), F.coalesce("long", "key"))
+    numbered = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), F.monotonically_increasing_id().alias("row"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    parts = numbered.mapInArrow(
+        summarise, f"row long, key string, long string, tf long, id {kind}, n_tokens long, n_known long, base double, of_hot double"
+    )
+    of_row, c = F.col("n_tokens").isNotNull(), F.coalesce("c", F.lit(0))
+    unseen = F.when(~of_row & F.col("c").isNull(), F.coalesce("long", "key"))
     joined = parts.join(known, "key", "left").withColumn("fresh", recursion(unseen))
-    of_doc, c = F.col("doc").isNotNull(), F.coalesce("c", F.lit(0))
     judged = joined.select(
-        "row", "id", "doc.n_tokens",
-        F.when(of_doc, F.col("doc.log_p")).otherwise(F.col("tf") * F.coalesce("log_p", "fresh")).alias("log_p"),
-        F.when(of_doc, F.col("doc.n_known")).when(c > 0, F.col("tf")).otherwise(0).alias("n_known"),
-        F.when(of_doc, F.col("doc.base")).otherwise(F.col("tf") * (F.log10(c + 1) - F.lit(floor))).alias("base"),
+        "row", "id", "n_tokens",
+        F.when(of_row, F.col("of_hot")).otherwise(F.col("tf") * F.coalesce("log_p", "fresh")).alias("log_p"),
+        F.when(of_row, F.col("n_known")).when(c > 0, F.col("tf")).otherwise(0).alias("n_known"),
+        F.when(of_row, F.col("base")).otherwise(F.col("tf") * (F.log10(c + 1) - F.lit(floor))).alias("base"),
     )
     sums = judged.groupBy("row").agg(
         F.max("id").alias("id"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("log_p").alias("log_p")

@@ -123,7 +123,7 @@ PII = "card 4041894974608795, again 4041-8949-7460-8795; bad 4041894974608796. i
 
 
 def run_pii(spark, rows, undo=False):
-    return {r.id: r for r in PF.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), undo=undo).collect()}
+    return {r.id: r for r in PF.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), PF.TEST_KEY, undo=undo).collect()}
 
 
 def luhn(s):
@@ -154,12 +154,64 @@ def test_pseudonyms(spark):
     assert back[1].text == PII
 
 
+BESIDE = [
+    "4111111111111111 12/27", "4111 1111 1111 1111 123", "no. 12 4111 1111 1111 1111", "4111-1111-1111-1111", "1234 5678 4111 1111 1111 1111",
+    "4111111111111111 2024-02-29", "3782 822463 10005", "4111111111111111\n", "7 4111111111111111 12 5555555555554444",
+]
+
+
+def test_cards_beside_other_numbers(spark):
+    got = run_pii(spark, list(enumerate(BESIDE)))
+    values = {i: [f.value for f in r.finds if f.kind == "card"] for i, r in got.items()}
+    assert [len(values[i]) for i in range(len(BESIDE))] == [1, 1, 1, 1, 1, 1, 1, 1, 2]
+    assert len({re.sub(r"\D", "", values[i][0]) for i in (0, 1, 2, 3, 4, 5, 7, 8)}) == 1  # linked whatever stands beside
+    assert all(luhn(v) for vs in values.values() for v in vs)
+    for i, text in enumerate(BESIDE):
+        bare = re.sub(r"\D", "", got[i].text)
+        assert "4111111111111111" not in bare and "378282246310005" not in bare and len(got[i].text) == len(text)
+    assert got[0].text.endswith(" 12/27") and got[1].text.endswith(" 123") and got[2].text.startswith("no. 12 ") and got[4].text.startswith("1234 5678 ")
+    assert [f.kind for f in got[5].finds] == ["card", "date"]
+    back = run_pii(spark, [(i, r.text) for i, r in got.items()], undo=True)
+    assert [back[i].text for i in range(len(BESIDE))] == BESIDE
+
+
+def test_accounts_with_letters_and_month_first_dates(spark):
+    texts = ["NL91 ABNA 0417 1643 00", "NL91ABNA0417164300", "GB82 WEST 1234 5698 7654 32", "GB83 WEST 1234 5698 7654 32", "12/25/1980", "1980-12-25", "25/12/1980", "13/13/1980", "03/04/1980"]
+    got = run_pii(spark, list(enumerate(texts)))
+    assert [[f.kind for f in got[i].finds] for i in range(9)] == [["iban"]] * 3 + [[]] + [["date"]] * 3 + [[], ["date"]]
+    assert got[0].text.replace(" ", "") == got[1].text != texts[1] and got[2].text[5:9] == "WEST"
+    for i in (0, 1, 2):
+        account = got[i].text.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in account[4:] + account[:4])) % 97 == 1
+    m, d, y = got[4].text.split("/")
+    assert got[5].text == f"{y}-{m}-{d}" and got[6].text == f"{d}/{m}/{y}" and got[5].text != texts[5] and int(d) > 12
+    assert int(got[8].text[:2]) <= 12
+    back = run_pii(spark, [(i, r.text) for i, r in got.items()], undo=True)
+    assert [back[i].text for i in range(9)] == texts
+
+
+def test_email_moves_depend_on_the_whole_name(spark):
+    names = [f"{a}{b}.Box{a}" for a in "abc" for b in "xyz"] + ["q", "ab"]
+    got = run_pii(spark, [(i, f"to {n}@example.com now") for i, n in enumerate(names)])
+    moved = [got[i].finds[0].value.split("@")[0] for i in range(len(names))]
+    assert len(set(moved)) == len(names) and all(len(m) == len(n) for m, n in zip(moved, names))
+    shifts = {tuple((ord(y) - ord(x)) % 26 for x, y in zip(n, m) if x.islower()) for n, m in zip(names[:9], moved)}
+    assert len(shifts) == 9  # no two addresses of a length move alike
+    back = run_pii(spark, [(i, r.text) for i, r in got.items()], undo=True)
+    assert [back[i].text for i in range(len(names))] == [f"to {n}@example.com now" for n in names]
+
+
+def test_another_key_gives_other_pseudonyms(spark):
+    rows = spark.createDataFrame([(1, PII)], "doc_id long, text string")
+    assert PF.pseudonymise(rows, "another key").first().text != PF.pseudonymise(rows, PF.TEST_KEY).first().text
+
+
 def test_feistel_is_a_permutation(spark):
-    rows = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d")).select("d", PF.feistel(F.col("d"), F.lit("t")).alias("p"))
-    got = rows.select("d", "p", PF.feistel(F.col("p"), F.lit("t"), undo=True).alias("b")).collect()
+    rows = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d")).select("d", PF.feistel(F.col("d"), F.lit("t"), PF.TEST_KEY).alias("p"))
+    got = rows.select("d", "p", PF.feistel(F.col("p"), F.lit("t"), PF.TEST_KEY, undo=True).alias("b")).collect()
     assert len({r.p for r in got}) == 1000 and all(len(r.p) == 3 and r.b == r.d for r in got)
     assert sum(r.p == r.d for r in got) < 10
-    long = spark.createDataFrame([(str(10**29 + i),) for i in range(50)], "d string").select("d", PF.feistel(F.col("d"), F.lit("t")).alias("p"))
+    long = spark.createDataFrame([(str(10**29 + i),) for i in range(50)], "d string").select("d", PF.feistel(F.col("d"), F.lit("t"), PF.TEST_KEY).alias("p"))
     assert all(len(r.p) == 30 and r.p != r.d for r in long.collect())
 
 

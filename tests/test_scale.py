@@ -220,6 +220,16 @@ def test_categoricals_take_the_neighbours_majority(spark):
     assert len(new) == 6 and {(r["s"], r["t"]) for r in new} == {("q", "y")}
 
 
+def test_cells_in_which_nobody_asks(spark):
+    df, rows = mixed(spark, minority=300)
+    hits, small = nearest(spark, df, rows, cell_rows=20, wanted=F.lit(3))
+    got = {r["key"]: [(round(x["d"], 9), x["key"]) for x in r["near"]] for r in hits.collect()}
+    assert len(got) == 3
+    for p in small:
+        if p[0] in got:
+            assert got[p[0]] == sorted((round(distance(p, q), 9), q[0]) for q in small if q[0] != p[0])[:5]
+
+
 def test_smote_nc_is_repeatable_and_checks_input(spark):
     df, _ = mixed(spark)
     runs = [

@@ -55,13 +55,12 @@ TITLES = """(select l_orderkey, l_linenumber,
 def title_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their part and order, a title and a condition; other columns stay for pruning."""
     c = F.col
+    lines, part = table(spark, sf_dir, "lineitem", True), table(spark, sf_dir, "part")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
+    # The part's texts come last: so only its own rows carry them through a shuffle, not every line.
     rows = (
-        table(spark, sf_dir, "lineitem", True)
-        .join(table(spark, sf_dir, "part"), c("l_partkey") == c("p_partkey"))
-        .join(
-            table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus"),
-            c("l_orderkey") == c("o_orderkey"),
-        )
+        lines.join(orders, c("l_orderkey") == c("o_orderkey")).join(part, c("l_partkey") == c("p_partkey"))
+        .select(*lines.columns, *part.columns, *orders.columns)
     )
     size = c("p_size").cast("string")
     title = F.concat_ws(

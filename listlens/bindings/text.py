@@ -277,7 +277,7 @@ T12_SIGNS = {
 
 def _title_slice(columns):
     def run(spark, d):
-        return tx.with_title_features(title_rows(spark, d).select("title"), "title").select("title", *columns)
+        return tx.with_title_features(title_rows(spark, d).select("title"), "title", columns=list(columns))
 
     return run
 

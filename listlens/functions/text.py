@@ -161,9 +161,17 @@ def _base_features(raw: Column, norm: Column, years: Column) -> dict[str, Column
     return f
 
 
-def _derived_features(reference_year: int) -> dict[str, Column]:
-    """Features combining the base ones."""
+def _derived_features(reference_year: int, counted: Sequence[str]) -> dict[str, Column]:
+    """Features combining the base ones; where a count is not among ``counted``, only whether any word occurs is looked for."""
     c = F.col
+
+    def some(name: str, words: Sequence[str]) -> Column:
+        return c(name) > 0 if name in counted else lexicon_any(c("__norm"), words)
+
+    def of_category(name: str) -> Column:
+        return some(f"count_{name}", fv.TITLE_CATEGORIES[name])
+
+    any_new, any_used = some("score_palabras_new", fv.WORDS_NEW), some("score_palabras_used", fv.WORDS_USED)
     latest = c("__latest")
     new, used = c("score_palabras_new"), c("score_palabras_used")
     old_year = F.coalesce(latest < 2000, F.lit(False))
@@ -183,9 +191,9 @@ def _derived_features(reference_year: int) -> dict[str, Column]:
         "dominancia_used": used > new,
         "score_categoria_weighted": weighted,
         "es_marca_principal": c("count_marcas") > 0,
-        "es_electronico_nuevo": (c("count_electronico") > 0) & (new > 0),
-        "es_libro_antiguo": (c("count_libro") > 0) & (old_year | (used > 0)),
-        "es_automotriz_nuevo": (c("count_automotriz") > 0) & (new > 0),
+        "es_electronico_nuevo": of_category("electronico") & any_new,
+        "es_libro_antiguo": of_category("libro") & (old_year | any_used),
+        "es_automotriz_nuevo": of_category("automotriz") & any_new,
         "balance_indicadores": c("indicadores_nuevo") - c("indicadores_usado"),
     }
     f.update({f"es_{name}": c(f"count_{name}") > 0 for name in fv.TITLE_CATEGORIES})
@@ -209,8 +217,10 @@ TITLE_FEATURES = [
 ]
 
 
-def with_title_features(df: DataFrame, title: str, reference_year: int = fv.REFERENCE_YEAR) -> DataFrame:
-    """Append the 57 title features.
+def with_title_features(
+    df: DataFrame, title: str, reference_year: int = fv.REFERENCE_YEAR, columns: Sequence[str] = tuple(TITLE_FEATURES)
+) -> DataFrame:
+    """Append the 57 title features, or those of ``columns``.
 
     Three stacked projections, so normalised text, years and counts are computed once per row.
     Lexicons look at the normalised title, patterns and punctuation at the raw one.
@@ -225,4 +235,4 @@ def with_title_features(df: DataFrame, title: str, reference_year: int = fv.REFE
         }
     )
     base = text.withColumns(_base_features(F.col("__raw"), F.col("__norm"), F.col("__years")))
-    return base.withColumns(_derived_features(reference_year)).select(*df.columns, *TITLE_FEATURES)
+    return base.withColumns(_derived_features(reference_year, columns)).select(*df.columns, *columns)

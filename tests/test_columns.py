@@ -150,3 +150,18 @@ def test_key_population_ignores_empty(spark):
 def test_element_class_counts_null_array_is_not_empty(spark):
     rows = spark.createDataFrame([([], "n"), (None, "n"), (["x"], "u")], "t array<string>, k string")
     assert {(r["element"], r["k"]): r["count"] for r in element_class_counts(rows, "t", "k").collect()} == {(None, "n"): 1, ("x", "u"): 1}
+
+
+def test_a_slice_of_the_title_features_equals_the_whole(spark):
+    from listlens.functions.text import TITLE_FEATURES, with_title_features
+
+    rows = spark.createDataFrame([(t,) for t in (
+        "Celular Samsung nuevo", "Libro de 1967", "Libro usado", "Freno kit para Ford", "Freno", "celular", "", None, "libro 2020 ¡AÑO!",
+    )], "t string")
+    some = ["es_electronico_nuevo", "es_libro_antiguo", "es_automotriz_nuevo", "balance_indicadores", "num_guiones"]
+    whole, part = with_title_features(rows, "t"), with_title_features(rows, "t", columns=some)
+    assert part.columns == ["t", *some] and whole.columns == ["t", *TITLE_FEATURES]
+    assert sorted(part.collect(), key=str) == sorted(whole.select("t", *some).collect(), key=str)
+    assert {r["t"] for r in part.collect() if any(r[c] for c in some[:3])} == {
+        "Celular Samsung nuevo", "Libro de 1967", "Libro usado", "Freno kit para Ford", "libro 2020 ¡AÑO!",
+    }

@@ -309,3 +309,26 @@ def test_auc_over_many_ranges(spark, monkeypatch):
     pos, neg = v[y == 1], v[y == 0]
     want = ((pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()) / len(pos) / len(neg)
     assert evaluate.auc(df, "y", "v").head()[0] == pytest.approx(want, rel=1e-12)
+
+
+def test_running_rank_equals_running_total_of_ones(spark):
+    rows = spark.range(500).select((F.col("id") % 3).alias("g"), F.when(F.col("id") % 11 > 0, F.col("id") * 37 % 101).alias("v"), "id", F.lit(1).cast("long").alias("A b"))
+    for by in ((), ("g",)):
+        order = [F.col("v"), F.col("id")]
+        got = ordering.running_rank(rows, "place", order, by)
+        want = ordering.running_total(rows, {"place": "A b"}, order, by)
+        assert got.columns == want.columns and sorted(got.collect(), key=lambda r: r.id) == sorted(want.collect(), key=lambda r: r.id)
+    odd = spark.createDataFrame([(None, 1), (None, 2), ("x", 1)], "g string, id int")
+    assert sorted(r["place"] for r in ordering.running_rank(odd, "place", [F.col("id")], ("g",)).collect()) == [1, 1, 2]
+    assert ordering.running_rank(odd.limit(0), "place", [F.col("id")]).count() == 0
+
+
+def test_wide_rows_are_ranked_in_one_shuffle_and_stored_in_columns(spark):
+    rows = spark.range(4000).select("id", (F.col("id") % 2).alias("label"), (F.col("id") * 7 % 13).cast("double").alias("x"), (F.col("id") % 4).alias("c"))
+    ranked, _ = balance.cell_search(rows, "label", "id", ["x"], ["c"], F.lit(1.0), {0: 2000, 1: 2000})
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "parquet" in plan and ranked.count() == 4000
+    from listlens.session import store_rows
+
+    same = store_rows(spark.createDataFrame([(1, 2, [0.5])], "Maestro int, maestro int, `a b` array<double>"))
+    assert same.columns == ["Maestro", "maestro", "a b"] and list(same.head()) == [1, 2, [0.5]]
